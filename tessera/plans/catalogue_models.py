@@ -114,7 +114,7 @@ def model_compare(spark, d):
 
 
 @query("oof_table", SALES_CTE + _train_sql() + _oof_sql("p_brand", "b") + f"""
-SELECT {KEY_SQL}, round(net, 4) AS sale_price,
+SELECT {KEY_SQL}, round(net, 6) AS sale_price,
        round(exp(least(greatest(oof, 9.0), 14.0)) - 1, 4) AS oof_prediction,
        round(y, 6) AS log_sale_price, round(least(greatest(oof, 9.0), 14.0), 6)
          AS oof_log_prediction FROM o_b""")
@@ -122,7 +122,7 @@ def oof_table(spark, d):
     """Out-of-fold sink: key, price and log price, true and predicted (K2, V5)."""
     o = oof_group_mean(train_rows(spark, d), "y", "p_brand")
     p = X.clip_log_prediction("oof", *X.CLIP_RANGE)
-    return o.select(*KEY, r4("net").alias("sale_price"), r4(price(p)).alias("oof_prediction"),
+    return o.select(*KEY, r6("net").alias("sale_price"), r4(price(p)).alias("oof_prediction"),
                     r6("y").alias("log_sale_price"), r6(p).alias("oof_log_prediction"))
 
 
