@@ -97,12 +97,15 @@ class Stacking:
         folded = assign_folds(df.select(*self.key, label, *features), self.key, self.k,
                               self.seed, self.fold_weights).persist()
         jobs = [(b, f) for b in self.bases for f in range(self.k)]
+        # label (and features for E2) ride along with the key, so the wide
+        # table comes out of the one pivot shuffle without a join back
+        carry = [*self.key, label, *(features if self.keep_features else [])]
 
         def one(job):
             b, f = job
             fitted = b.fit(folded.filter(F.col("fold") != f), features, label)
             held = fitted.predict(folded.filter(F.col("fold") == f), "pred")
-            return b.name, f, fitted, held.select(*self.key, F.lit(b.name).alias("base"), "pred")
+            return b.name, f, fitted, held.select(*carry, F.lit(b.name).alias("base"), "pred")
 
         with ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as pool:
             results = list(pool.map(one, jobs))
@@ -112,9 +115,9 @@ class Stacking:
             fold_models[name][f] = fitted
             long = part if long is None else long.unionByName(part)
         names = [b.name for b in self.bases]
-        oof = stage(long.groupBy(*self.key).pivot("base", names).agg(F.first("pred")),
+        oof = stage(long.groupBy(*carry).pivot("base", names).agg(F.first("pred")),
                     f"{self.name}-oof-seed{self.seed}")
-        meta_in = folded.join(oof, on=self.key)
+        meta_in = oof
         meta_feats = names + (features if self.keep_features else [])
         meta = self.meta.fit(meta_in, meta_feats, label)
         full = None

@@ -93,11 +93,14 @@ def oof_group_mean(df: DataFrame, label: str, by: str | None, fold: str = "fold"
     """
     cell_keys = [by, fold] if by else [fold]
     cells = df.groupBy(*cell_keys).agg(F.sum(label).alias("s"), F.count(label).alias("n"))
-    per_fold = cells.groupBy(fold).agg(F.sum("s").alias("sf"), F.sum("n").alias("nf"))
-    glob = per_fold.agg(F.sum("sf").alias("S"), F.sum("nf").alias("N"))
-    fold_mean = per_fold.crossJoin(F.broadcast(glob)).select(
-        fold, ((F.col("S") - F.col("sf")) / (F.col("N") - F.col("nf"))).alias("__fm"))
-    out_df = df.join(F.broadcast(fold_mean), on=fold, how="left")
+    # k rows: the other folds' global mean per fold becomes a literal map
+    per_fold = {r[fold]: (r["sf"], r["nf"]) for r in cells.groupBy(fold).agg(
+        F.sum("s").alias("sf"), F.sum("n").alias("nf")).collect()}
+    S = sum(v[0] for v in per_fold.values())
+    N = sum(v[1] for v in per_fold.values())
+    fm = {f: (S - sf) / (N - nf) for f, (sf, nf) in per_fold.items() if N - nf > 0}
+    fold_mean = F.create_map(*[F.lit(x) for kv in fm.items() for x in kv])[F.col(fold)]
+    out_df = df.withColumn("__fm", fold_mean)
     if by:
         grp = cells.filter(F.col(by).isNotNull()).groupBy(by).agg(
             F.sum("s").alias("sg"), F.sum("n").alias("ng"))
