@@ -21,18 +21,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.functions.expr import CORRELATION_CUT, MI_TOP_K, VARIANCE_CUT
-from tessera.operators.stats import long_report
+from tessera.operators.stats import collect_agg
 
 
 def variance_table(df: DataFrame, features: list[str]) -> DataFrame:
-    """``(feature, position, var_pop, var_samp)`` for every feature, one aggregation."""
-    row = df.agg(*[F.struct(F.var_pop(F.col(c).cast("double")).alias("p"),
-                            F.var_samp(F.col(c).cast("double")).alias("s")).alias(c)
-                   for c in features])
-    rep = long_report(row, features, "v")
-    pos = F.create_map(*[x for i, c in enumerate(features) for x in (F.lit(c), F.lit(i))])
-    return rep.select("feature", pos[F.col("feature")].alias("position"),
-                      F.col("v.p").alias("var_pop"), F.col("v.s").alias("var_samp"))
+    """``(feature, position, var_pop, var_samp)`` for every feature.
+
+    Plain aggregates in codegen-sized chunks; the p result rows are a
+    feature-sized table built on the driver."""
+    x = {}
+    for c in features:
+        x[f"p:{c}"] = F.var_pop(F.col(c).cast("double"))
+        x[f"s:{c}"] = F.var_samp(F.col(c).cast("double"))
+    v = collect_agg(df, x)
+    rows = [(c, i, v[f"p:{c}"], v[f"s:{c}"]) for i, c in enumerate(features)]
+    return df.sparkSession.createDataFrame(
+        rows, "feature string, position int, var_pop double, var_samp double")
 
 
 @dataclass

@@ -18,6 +18,23 @@ from pyspark.sql import functions as F
 from tessera.functions.expr import BOXCOX_LAMBDA, PCA_SHARE, SKEW_CUT, boxcox1p
 
 
+# Aggregates per pass when a statistic is taken of many columns: very wide
+# aggregations fall out of whole-stage codegen, while Parquet is columnar,
+# so k narrow passes read the same bytes as one wide pass.
+AGG_CHUNK = 40
+
+
+def collect_agg(df: DataFrame, exprs: dict[str, Column], chunk: int = AGG_CHUNK) -> dict:
+    """Evaluate named aggregate expressions, ``chunk`` per pass → {name: value}."""
+    names = list(exprs)
+    out: dict = {}
+    for i in range(0, len(names), chunk):
+        part = names[i:i + chunk]
+        row = df.agg(*[exprs[n].alias(f"c{j}") for j, n in enumerate(part)]).first()
+        out.update({n: row[f"c{j}"] for j, n in enumerate(part)})
+    return out
+
+
 def long_report(row_df: DataFrame, names: list[str], value: str,
                 name_col: str = "feature") -> DataFrame:
     """Turn a one-row frame with one column per feature into ``(feature, value)`` rows."""
@@ -44,8 +61,8 @@ class BoxCoxSkewed:
     skews: dict[str, float | None] = field(default_factory=dict)
 
     def fit(self, df: DataFrame) -> "BoxCoxSkewed":
-        row = df.agg(*[F.skewness(F.col(c).cast("double")).alias(c) for c in self.columns]).first()
-        self.skews = {c: row[c] for c in self.columns}
+        self.skews = collect_agg(df, {c: F.skewness(F.col(c).cast("double"))
+                                      for c in self.columns})
         return self
 
     @property
@@ -84,9 +101,9 @@ class RobustScaler:
         return F.percentile_approx(x, probs, self.accuracy).alias(c)
 
     def fit(self, df: DataFrame) -> "RobustScaler":
-        row = df.agg(*[self._quartiles(c) for c in self.columns]).first()
+        qs = collect_agg(df, {c: self._quartiles(c) for c in self.columns})
         for c in self.columns:
-            q = row[c]
+            q = qs[c]
             if q is None:
                 self.center[c], self.scale[c] = 0.0, 1.0
                 continue

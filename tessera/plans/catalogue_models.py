@@ -208,20 +208,25 @@ def prediction_summary(spark, d):
 
 # --- models on the full feature chain (rows-only checks) ----------------------------
 
-_FEATURE_CACHE: dict[tuple[str, str], tuple[DataFrame, list[str]]] = {}
+_FEATURE_CACHE: dict[tuple[str, str], tuple[DataFrame, SalesFeatures]] = {}
 
 
-def feature_table(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
+def feature_chain(spark: SparkSession, d: str) -> tuple[DataFrame, SalesFeatures]:
     """Prepared sales features, built once per session and data folder and
-    staged to Parquet (the model queries share it)."""
+    staged to Parquet (the model queries share it), with the fitted chain."""
     k = (spark.sparkContext.applicationId, d)
     if k not in _FEATURE_CACHE:
         fe = SalesFeatures()
         df = stage(fe.build(spark, d), "sales-features")
-        _FEATURE_CACHE[k] = (df, fe.features)
+        _FEATURE_CACHE[k] = (df, fe)
     return _FEATURE_CACHE[k]
 
 
+def feature_table(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
+    df, fe = feature_chain(spark, d)
+    return df, fe.features
+
+
 def _split(spark, d):
     df, feats = feature_table(spark, d)
     return df.filter(F.col("split") == "train"), df.filter(F.col("split") == "test"), feats
@@ -397,3 +402,15 @@ def stack_seed_average(spark, d):
     train, test, feats = _split(spark, d)
     avg = SeedAverage(lambda s: small_stack(seed=s), _SEEDS).fit(train, feats, "y")
     return avg.predict(test.select(*KEY, *feats), "prediction").select(*KEY, "prediction")
+
+
+# --- streaming -------------------------------------------------------------------
+
+@query("stream_score")
+def stream_score(spark, d):
+    """The lasso of ``fit_lasso`` and the fitted feature chain applied to
+    lineitem arriving as a file stream (stream-static joins, Parquet sink)."""
+    from tessera.streaming.score import score_stream
+    df, fe = feature_chain(spark, d)
+    fitted = lasso(0.0005).fit(df.filter(F.col("split") == "train"), fe.features, "y")
+    return score_stream(spark, d, fe, fitted).select(*KEY, "prediction")

@@ -36,6 +36,32 @@ def outlier_rule():
     return (F.col("extra_qty") > 45) & (F.col("net") < 5000)
 
 
+NUMERIC = ["price", "l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice",
+           "frontage", "extra_qty", "brand_qty", "qty_total", "rate_total", "qty_x_price",
+           "has_extra", "age", "same_year", "rare", "o_orderpriority", "month_s",
+           "priority_n", "const_one"]
+
+
+def _clean(s: DataFrame) -> DataFrame:
+    """Hide the target of the unlabelled half; fixed fills."""
+    s = s.select(*[c for c in s.columns if c not in ("net", "y")],
+                 F.when(F.col("split") == "train", F.col("y")).alias("y"))
+    return fill_constant(s, {"facility": "None", "extra_qty": 0.0})
+
+
+def _derive(s: DataFrame) -> DataFrame:
+    """Sums, ratios, flags and interactions in one projection."""
+    return s.select(
+        *s.columns,
+        F.col("l_extendedprice").alias("price"),
+        X.total("l_quantity", "extra_qty").alias("qty_total"),
+        X.weighted_total({"l_tax": 1.0, "l_discount": 0.5}).alias("rate_total"),
+        (F.col("l_quantity") * F.col("p_retailprice")).alias("qty_x_price"),
+        X.presence_flag("extra_qty").alias("has_extra"),
+        X.equal_flag(F.year("l_shipdate"), F.year("o_orderdate")).alias("same_year"),
+    )
+
+
 @dataclass
 class SalesFeatures:
     fit_on: str = "all"
@@ -47,11 +73,9 @@ class SalesFeatures:
         return df if self.fit_on == "all" else df.filter(F.col("split") == "train")
 
     def build(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Fit every step on the data (progressively) and return the features."""
         s = sales(spark, sf_dir)
-        s = drop_outliers(s, outlier_rule(), F.col("split") == "train")
-        s = s.select(*[c for c in s.columns if c not in ("net", "y")],
-                     F.when(F.col("split") == "train", F.col("y")).alias("y"))
-        s = fill_constant(s, {"facility": "None", "extra_qty": 0.0})
+        s = _clean(drop_outliers(s, outlier_rule(), F.col("split") == "train"))
         if self.stage_clean:
             s = stage(s, "sales-clean")
         fit = self._fit_rows
@@ -59,34 +83,35 @@ class SalesFeatures:
         mode = ModeImputer(["priority_n"]).fit(fit(s))
         med = GroupMedianImputer(["frontage"], "p_brand").fit(fit(s))
         gmean = GroupMeanFeature("l_quantity", "p_brand", "brand_qty").fit(fit(s))
-        s = gmean.transform(med.transform(mode.transform(s)))
-
-        s = s.select(
-            *s.columns,
-            F.col("l_extendedprice").alias("price"),
-            X.total("l_quantity", "extra_qty").alias("qty_total"),
-            X.weighted_total({"l_tax": 1.0, "l_discount": 0.5}).alias("rate_total"),
-            (F.col("l_quantity") * F.col("p_retailprice")).alias("qty_x_price"),
-            X.presence_flag("extra_qty").alias("has_extra"),
-            X.equal_flag(F.year("l_shipdate"), F.year("o_orderdate")).alias("same_year"),
-        )
+        s = _derive(gmean.transform(med.transform(mode.transform(s))))
         s = graded(s, {"o_orderpriority": (X.PRIORITY_GRADES, 0)})
         lab = LabelEncoder(CODED).fit(fit(s))
         s = lab.transform(s)
+        if self.stage_clean:
+            # flat table for the remaining fits (skew, levels, variance)
+            s = stage(s, "sales-encoded")
 
-        numeric = ["price", "l_quantity", "l_discount", "l_tax", "p_size",
-                   "p_retailprice", "frontage", "extra_qty", "brand_qty", "qty_total",
-                   "rate_total", "qty_x_price", "has_extra", "age", "same_year", "rare",
-                   "o_orderpriority", "month_s", "priority_n", "const_one"]
-        box = BoxCoxSkewed(numeric).fit(fit(s))
+        box = BoxCoxSkewed(NUMERIC).fit(fit(s))
         s = box.transform(s)
         hot = OneHot(NOMINAL).fit(fit(s))
-        s = hot.transform(s.select(*KEY, "split", "y", *numeric, *NOMINAL))
-        candidates = numeric + hot.dummy_names()
-        var = VarianceFilter(candidates).fit(fit(s))
-        s = var.transform(s)
+        s = hot.transform(s.select(*KEY, "split", "y", *NUMERIC, *NOMINAL))
+        var = VarianceFilter(NUMERIC + hot.dummy_names()).fit(fit(s))
         self.features = var.kept
         self.steps = dict(mode=mode, median=med, group_mean=gmean, labels=lab, boxcox=box,
                           one_hot=hot, variance=var)
+        return self._final(var.transform(s))
+
+    def _final(self, s: DataFrame) -> DataFrame:
         return s.select(*KEY, "split", "y",
                         *[X.nan_to_zero(c).alias(c) for c in self.features])
+
+    def apply(self, s: DataFrame) -> DataFrame:
+        """Replay the fitted chain on new ``sales``-shaped rows (batch or
+        stream): every step is a projection or a join with a fitted table."""
+        st = self.steps
+        s = _clean(s)
+        s = st["group_mean"].transform(st["median"].transform(st["mode"].transform(s)))
+        s = graded(_derive(s), {"o_orderpriority": (X.PRIORITY_GRADES, 0)})
+        s = st["boxcox"].transform(st["labels"].transform(s))
+        s = st["one_hot"].transform(s.select(*KEY, "split", "y", *NUMERIC, *NOMINAL))
+        return self._final(st["variance"].transform(s))

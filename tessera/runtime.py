@@ -81,10 +81,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark)
     path = f"{root.rstrip('/')}/stage/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    spread(df).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition only when the plan has fewer partitions than
+    the cluster runs tasks at once (a source with one row group, a tiny
+    aggregate); a large input already has enough splits and is left alone,
+    so no extra shuffle happens at scale."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint for ``small`` only when its row count is within bound.
 

@@ -18,7 +18,12 @@ KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
+    return sales_from(read_table(spark, sf_dir, "lineitem"), spark, sf_dir)
+
+
+def sales_from(li: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view over any lineitem frame (batch or stream) and the static
+    part and orders tables."""
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", "p_brand", "p_type", "p_size", "p_retailprice")
     orders = read_table(spark, sf_dir, "orders").select(
