@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.models import Linear, Regressor, label_stats, linear_params
-from tessera.runtime import stage
+from tessera.runtime import bounded_broadcast, stage
 
 
 def fold_column(key: Sequence[str], k: int, seed: int,
@@ -108,7 +108,7 @@ def oof_group_mean(df: DataFrame, label: str, by: str | None, fold: str = "fold"
               .select(by, fold, F.when(F.col("ng") - F.col("n") > 0,
                                        (F.col("sg") - F.col("s")) / (F.col("ng") - F.col("n")))
                       .alias("__gm")))
-        out_df = out_df.join(gf, on=[by, fold], how="left")
+        out_df = out_df.join(bounded_broadcast(gf), on=[by, fold], how="left")
         pred = F.coalesce(F.col("__gm"), F.col("__fm"))
     else:
         pred = F.col("__fm")

@@ -22,6 +22,7 @@ from pyspark.sql.window import Window
 
 from tessera.functions.expr import CORRELATION_CUT, MI_TOP_K, VARIANCE_CUT
 from tessera.operators.stats import collect_agg
+from tessera.runtime import bounded_broadcast
 
 
 def variance_table(df: DataFrame, features: list[str]) -> DataFrame:
@@ -39,6 +40,30 @@ def variance_table(df: DataFrame, features: list[str]) -> DataFrame:
         rows, "feature string, position int, var_pop double, var_samp double")
 
 
+def dominance(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Share of the most frequent non-null value per column (P3, general form).
+
+    ``(feature, top_value, top_count, n, dominance)``; ties go to the
+    smallest value. Aggregations only: one grouped count over the unpivoted
+    values (map-side combine, so a value with a third of the rows is cheap),
+    a per-column max/sum over the count table, and a join back through a
+    size-checked broadcast (one row per column). No window, so a column with
+    very many distinct values is never gathered into one task.
+    """
+    long = (df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
+        for c in columns])).alias("kv"))
+        .select("kv.feature", "kv.value").filter(F.col("value").isNotNull()))
+    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
+    per = counts.groupBy("feature").agg(F.max("c").alias("top_count"),
+                                         F.sum("c").cast("long").alias("n"))
+    top = (counts.join(bounded_broadcast(per), on="feature")
+           .filter(F.col("c") == F.col("top_count"))
+           .groupBy("feature", "top_count", "n").agg(F.min("value").alias("top_value")))
+    return top.select("feature", "top_value", "top_count", "n",
+                      (F.col("top_count") / F.col("n")).alias("dominance"))
+
+
 @dataclass
 class VarianceFilter:
     """Keep features whose variance exceeds ``cut``.

@@ -75,33 +75,61 @@ class BoxCoxSkewed:
                           for c in df.columns])
 
 
+# The exact percentile aggregate keeps a value → count map and merges it in
+# one task per group; above this many distinct values a column (or group)
+# switches to percentile_approx, whose memory is fixed by its accuracy.
+EXACT_DISTINCT_LIMIT = 1_000_000
+APPROX_ACCURACY = 100_000
+
+
+def exact_columns(df: DataFrame, columns: list[str], limit: int = EXACT_DISTINCT_LIMIT,
+                  by: str | None = None) -> set[str]:
+    """Columns whose distinct count (per group of ``by``, if given) is within
+    ``limit`` by a HyperLogLog estimate — one cheap aggregation."""
+    est = {c: F.approx_count_distinct(c, 0.05) for c in columns}
+    if by is None:
+        got = collect_agg(df, est)
+    else:
+        per = df.groupBy(by).agg(*[e.alias(c) for c, e in est.items()])
+        got = collect_agg(per, {c: F.max(c) for c in columns})
+    return {c for c in columns if (got[c] or 0) <= limit}
+
+
+def quantiles(x: Column, probs: list[float], exact: bool,
+              accuracy: int = APPROX_ACCURACY) -> Column:
+    """Linearly interpolated exact percentiles, or the approximate ones."""
+    arr = F.array(*[F.lit(float(p)) for p in probs])
+    return F.percentile(x, arr) if exact else F.percentile_approx(x, arr, accuracy)
+
+
 @dataclass
 class RobustScaler:
     """(x − median) / (q75 − q25), a zero spread divides by 1.
 
-    Quartiles are exact and linearly interpolated (``percentile``), all
-    columns in one aggregation. ``exact=False`` switches to
-    ``percentile_approx`` with the given accuracy for columns with very many
-    distinct values (the exact aggregate keeps a value → count map).
-    Spark ML's RobustScaler is not used: it maps zero-spread columns to 0,
-    which would erase nearly every one-hot column.
+    Quartiles are exact and linearly interpolated (``percentile``), in
+    codegen-sized chunks of columns. ``exact=None`` (default) keeps them
+    exact for every column with at most ``EXACT_DISTINCT_LIMIT`` distinct
+    values and uses ``percentile_approx`` beyond (bounded memory);
+    ``exact=True/False`` forces one form. Spark ML's RobustScaler is not
+    used: it maps zero-spread columns to 0, which would erase nearly every
+    one-hot column.
     """
 
     columns: list[str]
-    exact: bool = True
-    accuracy: int = 100_000
+    exact: bool | None = None
+    accuracy: int = APPROX_ACCURACY
     center: dict[str, float] = field(default_factory=dict)
     scale: dict[str, float] = field(default_factory=dict)
-
-    def _quartiles(self, c: str) -> Column:
-        x = F.col(c).cast("double")
-        probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-        if self.exact:
-            return F.percentile(x, probs).alias(c)
-        return F.percentile_approx(x, probs, self.accuracy).alias(c)
+    approximated: list[str] = field(default_factory=list)
 
     def fit(self, df: DataFrame) -> "RobustScaler":
-        qs = collect_agg(df, {c: self._quartiles(c) for c in self.columns})
+        if self.exact is None:
+            ok = exact_columns(df, self.columns)
+        else:
+            ok = set(self.columns) if self.exact else set()
+        self.approximated = [c for c in self.columns if c not in ok]
+        qs = collect_agg(df, {c: quantiles(F.col(c).cast("double"), [.25, .5, .75], c in ok,
+                                           self.accuracy) for c in self.columns})
         for c in self.columns:
             q = qs[c]
             if q is None:
@@ -127,15 +155,17 @@ def pca_keep_share(df: DataFrame, array_col: str, keep: list[str],
 
     Input is an array column. The columns are robust-scaled first (median
     and quartiles from one aggregation over the exploded values, grouped by
-    position — at most dimension-many groups), then mean-centred, because
+    position — at most dimension-many groups; approximate when a dimension
+    has more distinct values than the exact aggregate should hold), then
+    mean-centred, because
     Spark's PCA projects without centring. Returns (frame with ``pcs``
     array, k).
     """
     dims = df.select(F.size(array_col).alias("d")).agg(F.max("d")).first()[0]
-    q = (df.select(F.posexplode(array_col).alias("pos", "x"))
-         .groupBy("pos")
-         .agg(F.percentile(F.col("x").cast("double"), F.array(F.lit(.25), F.lit(.5), F.lit(.75)))
-              .alias("q"))
+    long = df.select(F.posexplode(array_col).alias("pos", "x"))
+    exact = bool(exact_columns(long, ["x"], by="pos"))
+    q = (long.groupBy("pos")
+         .agg(quantiles(F.col("x").cast("double"), [.25, .5, .75], exact).alias("q"))
          .collect())
     med = [0.0] * dims
     spread = [1.0] * dims

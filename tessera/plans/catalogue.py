@@ -11,7 +11,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tessera.functions import expr as X
 from tessera.operators.encode import LabelEncoder, OneHot, graded
@@ -20,8 +19,8 @@ from tessera.operators.evaluate import (assign_folds, oof_group_mean, rmsle,
 from tessera.operators.impute import (GroupMeanFeature, GroupMedianImputer, ModeImputer,
                                       drop_outliers, fill_constant)
 from tessera.operators.models import GroupMean
-from tessera.operators.select import (CorrelationFilter, VarianceFilter, mutual_information,
-                                      top_k, variance_table)
+from tessera.operators.select import (CorrelationFilter, VarianceFilter, dominance,
+                                      mutual_information, top_k, variance_table)
 from tessera.operators.stats import BoxCoxSkewed, RobustScaler, skewness_report
 from tessera.sources.fixture import KEY, KEY_SQL, SALES_CTE, sales
 from tessera.sources.tables import NA_TOKENS, labelled_unlabelled, normalise_na_tokens, read_table
@@ -151,22 +150,10 @@ SELECT feature, value AS top_value, c AS top_count, CAST(n AS BIGINT) AS n,
        round(c / n, 6) AS dominance
 FROM ranked WHERE rk = 1""")
 def near_constant_columns(spark, d):
-    """Share of the most frequent value per string column (P3, general form).
-
-    Non-null values only; ties go to the smallest value. One unpivot and one
-    grouped count (partial aggregation), then a window over the small count
-    table."""
-    s = sales(spark, d)
-    long = s.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in _STRING_COLS]))
-        .alias("kv")).select("kv.feature", "kv.value").filter(F.col("value").isNotNull())
-    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy("feature").orderBy(F.desc("c"), "value")
-    ranked = (counts.withColumn("rk", F.row_number().over(w))
-              .withColumn("n", F.sum("c").over(Window.partitionBy("feature"))))
-    return ranked.filter("rk = 1").select(
-        "feature", F.col("value").alias("top_value"), F.col("c").alias("top_count"),
-        F.col("n").cast("long").alias("n"), r6(F.col("c") / F.col("n")).alias("dominance"))
+    """Share of the most frequent value per string column (P3, general form)."""
+    rep = dominance(sales(spark, d), _STRING_COLS)
+    return rep.select("feature", "top_value", "top_count", "n",
+                      r6("dominance").alias("dominance"))
 
 
 # --- missing values -----------------------------------------------------------

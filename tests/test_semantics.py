@@ -185,3 +185,26 @@ def test_union_by_name_and_na_tokens(spark):
     got = {r.id: (r.c, r.y, r.split) for r in u.collect()}
     assert got == {1: (None, 10.0, "train"), 2: (None, None, "test")}
     assert fill_constant(u, {"c": "None"}).filter("c = 'None'").count() == 2
+
+
+def test_exact_limit_switches_to_approx(spark):
+    from tessera.operators.stats import exact_columns, quantiles
+    df = spark.range(2000).select((F.col("id") * 1.0).alias("x"), (F.col("id") % 3).alias("g"),
+                                  (F.col("id") % 4).alias("code"))
+    assert exact_columns(df, ["x", "code"], limit=100) == {"code"}
+    assert exact_columns(df, ["x", "code"], limit=100, by="g") == {"code"}
+    ex, ap = df.agg(quantiles(F.col("x"), [.5], True).alias("e"),
+                    quantiles(F.col("x"), [.5], False).alias("a")).first()
+    assert ex[0] == 999.5 and abs(ap[0] - 999.5) <= 1.0
+
+
+def test_hot_group_median_and_dominance(spark):
+    from tessera.operators.select import dominance
+    # one group holds a third of the rows
+    rows = [("hot", float(i % 7)) for i in range(300)] + \
+           [(f"g{i % 20}", float(i % 5)) for i in range(600)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(8)
+    tab = {r.g: r["__med_x"] for r in GroupMedianImputer(["x"], "g").fit(df).table.collect()}
+    assert tab["hot"] == 3.0 and tab["g0"] == 0.0 and len(tab) == 21
+    rep = {r.feature: r for r in dominance(df, ["g"]).collect()}
+    assert rep["g"].top_value == "hot" and rep["g"].top_count == 300 and rep["g"].n == 900
