@@ -34,12 +34,12 @@ def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _collect_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    table = distinct_values(df, columns)
-    n = table.count()
-    if n > MAX_CATEGORIES * max(1, len(columns)):
-        raise ValueError(f"{n} distinct values: too many categories to encode as literals")
+    bound = MAX_CATEGORIES * max(1, len(columns))
+    rows = distinct_values(df, columns).limit(bound + 1).collect()   # one job, size-checked
+    if len(rows) > bound:
+        raise ValueError(f"more than {bound} distinct values: too many to encode as literals")
     levels: dict[str, list[str]] = {c: [] for c in columns}
-    for r in table.collect():
+    for r in rows:
         levels[r["column"]].append(r["value"])
     for c in levels:
         levels[c].sort(key=lambda s: s.encode("utf-8"))   # byte order, as Spark sorts

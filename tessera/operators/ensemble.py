@@ -89,7 +89,7 @@ class Stacking:
     k: int = 5
     seed: int = 42
     keep_features: bool = False
-    parallelism: int = 3
+    parallelism: int = 4
     fold_weights: Sequence[int] | None = None
     name: str = "stack"
 

@@ -42,16 +42,22 @@ class ModeImputer:
     """Fill NULLs with the column mode (I4).
 
     Nulls are not counted; ties go to the smallest value. All columns are
-    fitted in one aggregation whose partial (map-side) state is a
-    value → count table, so a value holding a third of the rows costs no
-    more than any other.
+    fitted together from one grouped count of ``(column, value)`` pairs
+    (map-side combine, so a value holding a third of the rows costs no more
+    than any other) and aggregates over that count table; unlike the
+    ``mode`` aggregate, no single task ever holds every distinct value.
     """
 
     columns: list[str]
     modes: dict[str, object] | None = None
 
     def fit(self, df: DataFrame) -> "ModeImputer":
-        row = df.agg(*[F.mode(c, True).alias(c) for c in self.columns]).first()
+        from tessera.operators.select import dominance
+        types = {f.name: f.dataType for f in df.schema.fields}
+        top = {r["feature"]: r["top_value"] for r in dominance(df, self.columns).collect()}
+        # the count table holds text; bring each value back to its column's type
+        row = df.sparkSession.range(1).select(*[
+            F.lit(top.get(c)).cast(types[c]).alias(c) for c in self.columns]).first()
         self.modes = {c: row[c] for c in self.columns}
         return self
 

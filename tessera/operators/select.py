@@ -232,6 +232,10 @@ class TopKSelector:
     kept: list[str] = field(default_factory=list)
 
     def fit(self, df: DataFrame) -> "TopKSelector":
+        if self.k >= len(self.features):
+            # k = min(k, p) keeps every feature: the scores cannot change the result
+            self.kept = list(self.features)
+            return self
         fn = self.score_fn or mutual_information
         best = top_k(fn(df, self.features, self.label), min(self.k, len(self.features)))
         chosen = {r["feature"] for r in best.collect()}

@@ -208,3 +208,18 @@ def test_hot_group_median_and_dominance(spark):
     assert tab["hot"] == 3.0 and tab["g0"] == 0.0 and len(tab) == 21
     rep = {r.feature: r for r in dominance(df, ["g"]).collect()}
     assert rep["g"].top_value == "hot" and rep["g"].top_count == 300 and rep["g"].n == 900
+
+
+def test_statistics_invariant_under_repartition(spark):
+    rows = [(i % 11, float((i * 37) % 101) / 7.0) for i in range(500)]
+    a = spark.createDataFrame(rows, "g int, x double")
+    b = a.repartition(13)
+    for df_a, df_b in [(a, b)]:
+        assert RobustScaler(["x"]).fit(df_a).center == RobustScaler(["x"]).fit(df_b).center
+        ta = {r.g: r["__med_x"] for r in GroupMedianImputer(["x"], "g").fit(df_a).table.collect()}
+        tb = {r.g: r["__med_x"] for r in GroupMedianImputer(["x"], "g").fit(df_b).table.collect()}
+        assert ta == tb
+        sa = BoxCoxSkewed(["x"]).fit(df_a).skews["x"]
+        sb = BoxCoxSkewed(["x"]).fit(df_b).skews["x"]
+        assert sa == pytest.approx(sb, rel=1e-12)
+        assert ModeImputer(["g"]).fit(df_a).modes == ModeImputer(["g"]).fit(df_b).modes
