@@ -414,3 +414,48 @@ def stream_score(spark, d):
     df, fe = feature_chain(spark, d)
     fitted = lasso(0.0005).fit(df.filter(F.col("split") == "train"), fe.features, "y")
     return score_stream(spark, d, fe, fitted).select(*KEY, "prediction")
+
+
+# --- model comparison with the real learners (V3, V4) -----------------------------
+
+def compare_models() -> dict:
+    """The seven learners of the documented comparison, small profile."""
+    return {
+        "lasso": lasso(0.0005),
+        "elastic_net": elastic_net(0.0005, 0.9),
+        "ridge": ridge(10.0),
+        "poly_ridge": PolyRidge(0.6, 2.5),
+        "gbt_robust": Trees("gbt", dict(maxIter=20, stepSize=0.3, maxDepth=4,
+                                        lossType="absolute", featureSubsetStrategy="sqrt",
+                                        minInstancesPerNode=15, seed=42)),
+        "gbt_xgb": Trees("gbt", GBT_SMALL["xgb"]),
+        "forest": Trees("forest", dict(numTrees=20, maxDepth=8, minInstancesPerNode=5,
+                                       featureSubsetStrategy="sqrt", seed=42)),
+    }
+
+
+def cv_scores(spark, d, k: int = 3) -> DataFrame:
+    """``(model, fold, rmsle)``: every learner fitted on k−1 folds, scored on the
+    held-out one; fits run from a small pool, scores are one aggregation each."""
+    from concurrent.futures import ThreadPoolExecutor
+    train, _, feats = _split(spark, d)
+    folded = assign_folds(train.select(*KEY, "y", *feats), FOLD_KEY, k, 42,
+                          FOLD_WEIGHTS).persist()
+    models = compare_models()
+
+    def one(job):
+        name, f = job
+        fitted = models[name].fit(folded.filter(F.col("fold") != f), feats, "y")
+        held = fitted.predict(folded.filter(F.col("fold") == f), "p")
+        return name, f, float(rmsle(held, "y", "p").first()["rmsle"])
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        rows = list(pool.map(one, [(m, f) for m in models for f in range(k)]))
+    folded.unpersist()
+    return spark.createDataFrame(rows, "model string, fold int, rmsle double")
+
+
+@query("model_compare_cv")
+def model_compare_cv(spark, d):
+    """k-fold RMSLE of each learner, mean ± population std (V3, V4)."""
+    return summarize_scores(cv_scores(spark, d))
