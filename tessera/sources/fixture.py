@@ -82,7 +82,7 @@ WITH sales AS (
          CASE WHEN l.l_partkey % 50 = 0 THEN 1 ELSE 0 END AS rare,
          l.l_extendedprice * 1.1 + l.l_linenumber AS price_copy,
          1 AS const_one,
-         year(l.l_shipdate) - year(o.o_orderdate) AS age
+         CAST(year(l.l_shipdate) - year(o.o_orderdate) AS INTEGER) AS age
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
                   JOIN orders o ON l.l_orderkey = o.o_orderkey
 )
