@@ -216,7 +216,7 @@ def feature_chain(spark: SparkSession, d: str) -> tuple[DataFrame, SalesFeatures
     staged to Parquet (the model queries share it), with the fitted chain."""
     k = (spark.sparkContext.applicationId, d)
     if k not in _FEATURE_CACHE:
-        fe = SalesFeatures()
+        fe = SalesFeatures(fit_on="all")      # parity: statistics over both halves
         df = stage(fe.build(spark, d), "sales-features")
         _FEATURE_CACHE[k] = (df, fe)
     return _FEATURE_CACHE[k]

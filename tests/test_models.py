@@ -109,3 +109,19 @@ def test_stack_oof_one_row_per_key_and_seed_average(sales_features):
     avg = SeedAverage(make, (1, 2)).fit(tr, feats, "y")
     out = avg.predict(te.select(*key, *feats), "p")
     assert out.count() == te.count() and out.filter(F.col("p").isNull()).count() == 0
+
+
+def test_topk_selector_quantile_bins(spark):
+    from tessera.operators.select import TopKSelector
+    rng = np.random.default_rng(3)
+    n = 3000
+    a = rng.normal(size=n)
+    noise = rng.normal(size=n)
+    b = rng.normal(size=n)
+    y = np.sin(a) * 2 + 0.5 * b + rng.normal(scale=0.1, size=n)
+    df = spark.createDataFrame([(float(a[i]), float(noise[i]), float(b[i]), float(y[i]))
+                                for i in range(n)], "a double, noise double, b double, y double")
+    sel = TopKSelector(["a", "noise", "b"], "y", k=2).fit(df)
+    assert sel.kept == ["a", "b"]
+    assert sel.transform(df).columns == ["a", "b", "y"]
+    assert TopKSelector(["a", "noise"], "y", k=200).fit(df).kept == ["a", "noise"]
