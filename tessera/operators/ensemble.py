@@ -139,7 +139,10 @@ class SeedAverage:
     fitted: list[FittedStack] = field(default_factory=list)
 
     def fit(self, df: DataFrame, features: list[str], label: str) -> "SeedAverage":
-        self.fitted = [self.make_stack(s).fit(df, features, label) for s in self.seeds]
+        # whole stacks per seed are independent jobs: run them side by side
+        with ThreadPoolExecutor(max_workers=len(self.seeds)) as pool:
+            self.fitted = list(pool.map(
+                lambda s: self.make_stack(s).fit(df, features, label), self.seeds))
         return self
 
     def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:

@@ -117,7 +117,7 @@ def oof_group_mean(df: DataFrame, label: str, by: str | None, fold: str = "fold"
 
 def linear_grid_cv(df: DataFrame, features: list[str], label: str, kind: str,
                    alphas: Sequence[float], fold: str = "fold", k: int | None = None,
-                   parallelism: int = 4) -> tuple[float, DataFrame]:
+                   parallelism: int = 8) -> tuple[float, DataFrame]:
     """k-fold choice of α for a linear model (M4, M5).
 
     The penalty mapping depends on each training part's size and label

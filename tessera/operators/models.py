@@ -293,11 +293,12 @@ def base_models(profile: str = "small", seed: int = 42) -> list[Regressor]:
             Trees("gbt", dict(maxIter=3000, stepSize=0.01, maxDepth=5, seed=seed),
                   name="gbt_cat"),
         ]
+    # three members of the documented stack: penalised linear, polynomial
+    # kernel ridge (one Gramian pass) and a row/column-sampled booster
     return [
         lasso(0.0005),
-        Trees("forest", dict(numTrees=10, maxDepth=6, minInstancesPerNode=5,
-                             featureSubsetStrategy="sqrt", seed=seed), name="forest"),
-        Trees("gbt", dict(maxIter=10, stepSize=0.3, maxDepth=4, subsamplingRate=0.7,
+        PolyRidge(0.6, 2.5),
+        Trees("gbt", dict(maxIter=20, stepSize=0.3, maxDepth=4, subsamplingRate=0.7,
                           featureSubsetStrategy="0.7", seed=seed), name="gbt_xgb"),
     ]
 

@@ -303,10 +303,14 @@ GBT_SMALL = {
 @query("fit_gbt")
 def fit_gbt(spark, d):
     """Three GBTRegressor configurations standing in for the boosted libraries."""
+    from concurrent.futures import ThreadPoolExecutor
     train, test, feats = _split(spark, d)
+    with ThreadPoolExecutor(max_workers=len(GBT_SMALL)) as pool:     # independent fits
+        fits = list(pool.map(lambda kv: Trees("gbt", kv[1], name=kv[0]).fit(train, feats, "y"),
+                             GBT_SMALL.items()))
     cur = test.select(*KEY, *feats)
-    for name, params in GBT_SMALL.items():
-        cur = Trees("gbt", params, name=name).fit(train, feats, "y").predict(cur, f"pred_{name}")
+    for name, fitted in zip(GBT_SMALL, fits):
+        cur = fitted.predict(cur, f"pred_{name}")
     return cur.select(*KEY, *[f"pred_{n}" for n in GBT_SMALL])
 
 
@@ -379,17 +383,23 @@ def stack_cv(spark, d):
     """Outer k-fold score of the whole stack (V5, V6): per outer fold the
     stack is fitted on the other folds and scored on this one."""
     train, _, feats = _split(spark, d)
+    from concurrent.futures import ThreadPoolExecutor
     outer = assign_folds(train, FOLD_KEY, 3, 7, FOLD_WEIGHTS).withColumnRenamed(
         "fold", "outer").persist()
-    parts = []
-    for f in range(3):
-        fitted = small_stack(k=3).fit(outer.filter(F.col("outer") != f), feats, "y")
+
+    from tessera.plans.pipeline import clip_bounds
+
+    def one(f: int) -> DataFrame:
+        fit_rows = outer.filter(F.col("outer") != f)
+        fitted = small_stack(k=3).fit(fit_rows, feats, "y")
         held = fitted.predict(outer.filter(F.col("outer") == f).select(*KEY, "y", *feats),
                               "prediction")
-        held = held.withColumn("prediction",
-                               X.clip_log_prediction("prediction", *X.CLIP_RANGE))
-        parts.append(stage(held.select(*KEY, F.lit(f).alias("fold"), "y", "prediction"),
-                           "stack-cv"))
+        lo, hi = clip_bounds(fit_rows, "label_range")     # clip to the labelled range
+        held = held.withColumn("prediction", X.clip_log_prediction("prediction", lo, hi))
+        return stage(held.select(*KEY, F.lit(f).alias("fold"), "y", "prediction"), "stack-cv")
+
+    with ThreadPoolExecutor(max_workers=3) as pool:      # independent outer folds
+        parts = list(pool.map(one, range(3)))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -449,7 +459,7 @@ def cv_scores(spark, d, k: int = 3) -> DataFrame:
         held = fitted.predict(folded.filter(F.col("fold") == f), "p")
         return name, f, float(rmsle(held, "y", "p").first()["rmsle"])
 
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    with ThreadPoolExecutor(max_workers=8) as pool:
         rows = list(pool.map(one, [(m, f) for m in models for f in range(k)]))
     folded.unpersist()
     return spark.createDataFrame(rows, "model string, fold int, rmsle double")
