@@ -86,6 +86,8 @@ def exact_columns(df: DataFrame, columns: list[str], limit: int = EXACT_DISTINCT
                   by: str | None = None) -> set[str]:
     """Columns whose distinct count (per group of ``by``, if given) is within
     ``limit`` by a HyperLogLog estimate — one cheap aggregation."""
+    if df.count() <= limit:
+        return set(columns)          # no column can have more distinct values than rows
     est = {c: F.approx_count_distinct(c, 0.05) for c in columns}
     if by is None:
         got = collect_agg(df, est)

@@ -193,6 +193,7 @@ def test_exact_limit_switches_to_approx(spark):
                                   (F.col("id") % 4).alias("code"))
     assert exact_columns(df, ["x", "code"], limit=100) == {"code"}
     assert exact_columns(df, ["x", "code"], limit=100, by="g") == {"code"}
+    assert exact_columns(df, ["x", "code"], limit=5000) == {"x", "code"}   # rows ≤ limit
     ex, ap = df.agg(quantiles(F.col("x"), [.5], True).alias("e"),
                     quantiles(F.col("x"), [.5], False).alias("a")).first()
     assert ex[0] == 999.5 and abs(ap[0] - 999.5) <= 1.0
