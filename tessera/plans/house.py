@@ -16,10 +16,10 @@ from pyspark.sql.types import (DoubleType, IntegerType, NumericType, StringType,
                                StructField, StructType)
 
 from tessera.functions import expr as X
-from tessera.operators.encode import LabelEncoder, OneHot
+from tessera.operators.encode import LabelEncoder, OneHot, graded
 from tessera.operators.impute import (GroupMeanFeature, GroupMedianImputer, ModeImputer,
                                       drop_outliers, fill_constant)
-from tessera.operators.select import VarianceFilter
+from tessera.operators.select import CorrelationFilter, VarianceFilter
 from tessera.operators.stats import BoxCoxSkewed
 from tessera.sources.tables import labelled_unlabelled, read_csv_table
 
@@ -83,10 +83,41 @@ def read_house(spark: SparkSession, train_path: str, test_path: str) -> tuple[Da
             read_csv_table(spark, test_path, house_schema(False)))
 
 
+def documented_hand_features() -> list:
+    """The 13 constructed features of the documented pipeline."""
+    total_sf = X.total("TotalBsmtSF", "1stFlrSF", "2ndFlrSF")
+    return [
+        total_sf.alias("TotalSF"),
+        X.total("OpenPorchSF", "EnclosedPorch", "3SsnPorch", "ScreenPorch",
+                "WoodDeckSF").alias("TotalPorchSF"),
+        X.weighted_total({"FullBath": 1.0, "HalfBath": 0.5, "BsmtFullBath": 1.0,
+                          "BsmtHalfBath": 0.5}).alias("TotalBathrooms"),
+        X.presence_flag("PoolArea").alias("HasPool"),
+        X.presence_flag("2ndFlrSF").alias("Has2ndFloor"),
+        X.presence_flag("GarageArea").alias("HasGarage"),
+        X.presence_flag("TotalBsmtSF").alias("HasBsmt"),
+        X.presence_flag("Fireplaces").alias("HasFireplace"),
+        (F.col("YrSold") - F.col("YearBuilt")).alias("HouseAge"),
+        (F.col("YrSold") - F.col("YearRemodAdd")).alias("RemodAge"),
+        X.equal_flag("YearBuilt", "YrSold").alias("IsNewHouse"),
+        (F.col("OverallQual") * total_sf).alias("OverallQual_TotalSF"),
+        (F.col("OverallQual") * F.col("GrLivArea")).alias("OverallQual_GrLivArea"),
+    ]
+
+
 @dataclass
 class HouseFeatures:
-    """Cleaning + encoding of the best pipeline; statistics over both halves."""
+    """Cleaning + encoding of the house-sale files.
 
+    ``variant="best"``: the best-scoring pipeline (label codes, neighbourhood
+    mean of quality, three hand features, population variance > 0.01, all
+    statistics over both halves). ``variant="documented"``: graded maps for
+    17 columns, the 13 hand features, modes also for ``Functional``, then
+    sample variance > 0 and the 0.98 correlation filter fitted on the
+    labelled half.
+    """
+
+    variant: str = "best"
     features: list[str] = field(default_factory=list)
 
     def build(self, train: DataFrame, test: DataFrame) -> DataFrame:
@@ -94,6 +125,8 @@ class HouseFeatures:
                               & (F.col(TARGET) < OUTLIER_PRICE))
         train = train.withColumn("y", X.log_target(TARGET)).drop(TARGET)
         s = labelled_unlabelled(train, test)
+        if self.variant == "documented":
+            return self._documented(s)
         s = fill_constant(s, {**{c: "None" for c in FILL_NONE},
                               **{c: 0.0 for c in FILL_ZERO}, **FILL_DEFAULT})
         s = ModeImputer(FILL_MODE).fit(s).transform(s)
@@ -122,8 +155,32 @@ class HouseFeatures:
                         *[X.nan_to_zero(F.col(f"`{c}`")).alias(c) for c in self.features])
 
 
+    def _documented(self, s: DataFrame) -> DataFrame:
+        s = fill_constant(s, {**{c: "None" for c in FILL_NONE}, **{c: 0.0 for c in FILL_ZERO}})
+        s = ModeImputer(FILL_MODE + ["Functional"]).fit(s).transform(s)
+        s = GroupMedianImputer(["LotFrontage"], "Neighborhood").fit(s).transform(s)
+        s = s.drop(*DROPPED)
+        s = s.select(*s.columns, *documented_hand_features())
+        s = graded(s, X.GRADED_MAPS)
+        s = s.withColumn("MSSubClass", X.code_as_text("MSSubClass"))
+        numeric = [f.name for f in s.schema.fields
+                   if isinstance(f.dataType, NumericType) and f.name not in ("Id", "y")]
+        nominal = [f.name for f in s.schema.fields
+                   if isinstance(f.dataType, StringType) and f.name != "split"]
+        s = BoxCoxSkewed(numeric).fit(s).transform(s)
+        hot = OneHot(nominal).fit(s)
+        s = hot.transform(s)
+        candidates = numeric + hot.dummy_names()
+        labelled = s.filter(F.col("split") == "train")
+        var = VarianceFilter(candidates, 0.0, population=False).fit(labelled)
+        corr = CorrelationFilter(var.kept, X.CORRELATION_CUT).fit(labelled)
+        self.features = corr.kept
+        return s.select("Id", "split", "y",
+                        *[X.nan_to_zero(F.col(f"`{c}`")).alias(c) for c in self.features])
+
+
 def run_house(spark: SparkSession, train_path: str, test_path: str,
-              out_path: str | None = None, opts=None) -> DataFrame:
+              out_path: str | None = None, opts=None, variant: str = "best") -> DataFrame:
     """Whole workflow: read → features → ensemble → ``Id, sale_price`` (K1)."""
     from tessera.plans.pipeline import Options, predict_prices
     from tessera.runtime import stage
@@ -132,7 +189,7 @@ def run_house(spark: SparkSession, train_path: str, test_path: str,
     # 60 features for the stack (the map then has under 2,000 terms)
     opts = opts or Options(top_k=60, clip=X.CLIP_RANGE)
     train, test = read_house(spark, train_path, test_path)
-    fe = HouseFeatures()
+    fe = HouseFeatures(variant)
     feats = stage(fe.build(train, test), "house-features")
     pred = predict_prices(feats, fe.features, opts, key=["Id"])
     if out_path:
