@@ -177,3 +177,28 @@ class _FixedLinear(Linear):
 
 __all__ = ["assign_folds", "fold_column", "rmsle", "rmsle_by_fold", "summarize_scores",
            "out_of_fold", "oof_group_mean", "linear_grid_cv", "label_stats"]
+
+
+class LinearCV:
+    """Robust scaling + linear model whose α is chosen by k-fold CV inside
+    ``fit`` (the grid-searched ridge / lasso members of a stack, M4, M5).
+    Folds hash the row's own values, so no key column is needed."""
+
+    def __init__(self, kind: str, alphas: Sequence[float], k: int = 5, seed: int = 42,
+                 name: str | None = None):
+        self.kind, self.alphas, self.k, self.seed = kind, list(alphas), k, seed
+        self.name = name or f"{kind}_cv"
+        self.best: float | None = None
+
+    def fit(self, df: DataFrame, features: list[str], label: str):
+        from tessera.operators.models import _FittedSpark
+        from tessera.operators.stats import RobustScaler
+        sc = RobustScaler(features).fit(df)
+        ex = sc.expressions()
+        scaled = df.select(label, *[ex[c].alias(c) for c in features]).withColumn(
+            "__fold", F.pmod(F.xxhash64(*[F.col(c) for c in features], F.col(label),
+                                        F.lit(self.seed)), F.lit(self.k)).cast("int"))
+        self.best, _ = linear_grid_cv(scaled, features, label, self.kind, self.alphas,
+                                      fold="__fold", k=self.k)
+        fitted = Linear(self.kind, self.best, 1.0, False, self.name).fit(scaled, features, label)
+        return _FittedSpark(fitted.model, features, sc)
