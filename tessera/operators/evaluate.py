@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.models import Linear, Regressor, label_stats, linear_params
+from tessera.operators.models import Linear, Regressor, label_stats
 from tessera.runtime import bounded_broadcast, stage
 
 
@@ -115,66 +117,120 @@ def oof_group_mean(df: DataFrame, label: str, by: str | None, fold: str = "fold"
     return out_df.select(*df.columns, pred.cast("double").alias(out))
 
 
+def fold_gramians(df: DataFrame, features: list[str], label: str, fold: str,
+                  k: int) -> np.ndarray:
+    """Per-fold Gramians of ``[1, x…, y]`` from ONE pass: numpy per Arrow
+    batch inside the tasks, Spark sums the (fold, cell) partials. Result
+    shape (k, p+2, p+2); it grows with features² × folds, never with rows."""
+    size = len(features) + 2
+
+    def partial(batches):
+        acc = np.zeros((k, size, size))
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            a = np.column_stack([np.ones(len(pdf)), np.vstack(pdf["x"].to_numpy()),
+                                 pdf["y"].to_numpy()]).astype(float)
+            f = pdf["f"].to_numpy()
+            for g in np.unique(f):
+                sub = a[f == g]
+                acc[int(g)] += sub.T @ sub
+        iu = np.triu_indices(size)
+        rows = [(g, int(i * size + j), float(acc[g, i, j]))
+                for g in range(k) for i, j in zip(*iu) if acc[g, i, j] != 0.0]
+        yield pd.DataFrame(rows, columns=["f", "i", "v"]).astype(
+            {"f": "int32", "i": "int64", "v": "float64"})
+
+    src = df.select(F.array(*[F.col(c).cast("double") for c in features]).alias("x"),
+                    F.col(label).cast("double").alias("y"), F.col(fold).cast("int").alias("f"))
+    sums = (src.mapInPandas(partial, "f int, i long, v double")
+            .groupBy("f", "i").agg(F.sum("v").alias("v")).collect())
+    g = np.zeros((k, size, size))
+    for r in sums:
+        i, j = divmod(r["i"], size)
+        g[r["f"], i, j] = g[r["f"], j, i] = r["v"]
+    return g
+
+
+def _centred(gram: np.ndarray):
+    p = gram.shape[0] - 2
+    n, sx, sy = gram[0, 0], gram[0, 1:p + 1], gram[0, p + 1]
+    sxx = gram[1:p + 1, 1:p + 1] - np.outer(sx, sx) / n
+    sxy = gram[1:p + 1, p + 1] - sx * sy / n
+    return n, sx, sy, sxx, sxy
+
+
+def solve_on_gramian(gram: np.ndarray, kind: str, alpha: float, l1_ratio: float = 1.0,
+                     tol: float = 1e-11, max_sweeps: int = 20_000) -> tuple[np.ndarray, float]:
+    """(w, b) for the reference objectives from a ``[1, x, y]`` Gramian:
+    ridge ``||y−Xw−b||² + α||w||²`` in closed form; lasso / elastic net
+    ``1/(2n)||y−Xw−b||² + αρ||w||₁ + α(1−ρ)/2||w||²`` by coordinate descent
+    on the centred p×p Gramian (the solve runs on features², not rows)."""
+    n, sx, sy, sxx, sxy = _centred(gram)
+    p = len(sxy)
+    if kind == "ridge":
+        w = np.linalg.solve(sxx + alpha * np.eye(p), sxy)
+    else:
+        rho = 1.0 if kind == "lasso" else l1_ratio
+        l1, l2 = n * alpha * rho, n * alpha * (1 - rho)
+        w = np.zeros(p)
+        diag = np.diag(sxx).copy()
+        grad = sxy.copy()                      # sxy − sxx·w, kept up to date
+        for _ in range(max_sweeps):
+            delta = 0.0
+            for j in range(p):
+                if diag[j] <= 0:
+                    continue
+                r = grad[j] + diag[j] * w[j]
+                new = np.sign(r) * max(abs(r) - l1, 0.0) / (diag[j] + l2)
+                step = new - w[j]
+                if step != 0.0:
+                    grad -= sxx[:, j] * step
+                    w[j] = new
+                    delta = max(delta, abs(step))
+            if delta < tol:
+                break
+    return w, (sy - sx @ w) / n
+
+
+def heldout_sse(gram: np.ndarray, w: np.ndarray, b: float) -> tuple[float, float]:
+    """(Σ(y − b − xᵀw)², n) over the rows whose Gramian is ``gram``."""
+    p = len(w)
+    n, sx, sy = gram[0, 0], gram[0, 1:p + 1], gram[0, p + 1]
+    xtx, xty, yty = gram[1:p + 1, 1:p + 1], gram[1:p + 1, p + 1], gram[p + 1, p + 1]
+    sse = yty - 2 * b * sy - 2 * w @ xty + n * b * b + 2 * b * (w @ sx) + w @ xtx @ w
+    return max(float(sse), 0.0), float(n)
+
+
 def linear_grid_cv(df: DataFrame, features: list[str], label: str, kind: str,
                    alphas: Sequence[float], fold: str = "fold", k: int | None = None,
                    parallelism: int = 8) -> tuple[float, DataFrame]:
-    """k-fold choice of α for a linear model (M4, M5).
+    """k-fold choice of α for a linear model (M4, M5) in one data pass.
 
-    The penalty mapping depends on each training part's size and label
-    spread, so it is computed per fold from one ``groupBy(fold)`` of
-    (n, Σy, Σy²) — complements give every part's figures. Returns the best
-    α (lowest mean fold RMSE) and the ``(alpha, fold, rmsle)`` table.
-    """
+    The per-fold Gramians come from :func:`fold_gramians`; each training
+    part's Gramian is the total minus its fold, each model is solved on it
+    and scored on the held-out fold's Gramian. Returns the best α (lowest
+    mean fold RMSE, ties to the smaller α) and the ``(alpha, fold, rmsle)``
+    table."""
     spark = df.sparkSession
-    stats = {r[fold]: r for r in df.groupBy(fold).agg(
-        F.count(label).alias("n"), F.sum(label).alias("s"),
-        F.sum(F.col(label) * F.col(label)).alias("ss")).collect()}
     if k is None:
-        k = max(stats) + 1
-    N = sum(r["n"] for r in stats.values())
-    S = sum(r["s"] for r in stats.values())
-    SS = sum(r["ss"] for r in stats.values())
-
-    def one(job):
-        a, f = job
-        n = N - stats[f]["n"]
-        mean = (S - stats[f]["s"]) / n
-        sd = max((SS - stats[f]["ss"]) / n - mean * mean, 0.0) ** 0.5
-        reg, en = linear_params(kind, a, n, sd)
-        fitted = _FixedLinear(reg, en).fit(df.filter(F.col(fold) != f), features, label)
-        held = fitted.predict(df.filter(F.col(fold) == f), "__p")
-        r = held.agg(F.sqrt(F.avg(F.pow(F.col("__p") - F.col(label), 2)))).first()[0]
-        return (float(a), int(f), float(r))
-
-    jobs = [(a, f) for a in alphas for f in range(k)]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(one, jobs))
+        k = df.agg(F.max(fold)).first()[0] + 1
+    grams = fold_gramians(df, features, label, fold, k)
+    total = grams.sum(axis=0)
+    rows = []
+    for a in alphas:
+        for f in range(k):
+            w, b = solve_on_gramian(total - grams[f], kind, float(a))
+            sse, n = heldout_sse(grams[f], w, b)
+            rows.append((float(a), int(f), float(np.sqrt(sse / n)) if n else float("nan")))
     table = spark.createDataFrame(rows, "alpha double, fold int, rmsle double")
-    means = {}
+    means: dict[float, list[float]] = {}
     for a, _, r in rows:
         means.setdefault(a, []).append(r)
     best = min(means, key=lambda a: (sum(means[a]) / len(means[a]), a))
     return best, table
 
 
-class _FixedLinear(Linear):
-    """Linear model with already mapped (regParam, elasticNetParam); inputs pre-scaled."""
-
-    def __init__(self, reg: float, en: float):
-        super().__init__("fixed", 0.0, 0.0, False, "fixed")
-        self._reg, self._en = reg, en
-
-    def fit(self, df, features, label):
-        from pyspark.ml.regression import LinearRegression
-
-        from tessera.operators.models import _assemble, _FittedSpark
-        est = LinearRegression(featuresCol="__features", labelCol=label, regParam=self._reg,
-                               elasticNetParam=self._en, standardization=False,
-                               solver="normal", maxIter=500, tol=1e-10)
-        return _FittedSpark(est.fit(_assemble(df.select(label, *features), features)),
-                            features, None)
-
-
 __all__ = ["assign_folds", "fold_column", "rmsle", "rmsle_by_fold", "summarize_scores",
            "out_of_fold", "oof_group_mean", "linear_grid_cv", "label_stats"]
 

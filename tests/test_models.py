@@ -125,3 +125,26 @@ def test_topk_selector_quantile_bins(spark):
     assert sel.kept == ["a", "b"]
     assert sel.transform(df).columns == ["a", "b", "y"]
     assert TopKSelector(["a", "noise"], "y", k=200).fit(df).kept == ["a", "noise"]
+
+
+@pytest.mark.parametrize("kind,alpha", [("ridge", 10.0), ("lasso", 0.05), ("elastic_net", 0.05)])
+def test_gramian_solver_matches_spark_fit(toy, kind, alpha):
+    from tessera.operators.evaluate import fold_gramians, solve_on_gramian
+    df, x, y = toy
+    g = fold_gramians(df.withColumn("f", F.lit(0)), FEATS, "y", "f", 1)[0]
+    w, b = solve_on_gramian(g, kind, alpha, 0.5 if kind == "elastic_net" else 1.0)
+    rho = 0.5 if kind == "elastic_net" else 0.0 if kind == "ridge" else 1.0
+    w_s, b_s = _coef(Linear(kind, alpha, rho, False).fit(df, FEATS, "y"))
+    assert np.allclose(w, w_s, atol=1e-5) and b == pytest.approx(b_s, abs=1e-5)
+
+
+def test_heldout_sse_from_gramian(toy):
+    from tessera.operators.evaluate import fold_gramians, heldout_sse
+    df, x, y = toy
+    folded = df.withColumn("f", (F.col("k") % 2).cast("int"))
+    g = fold_gramians(folded, FEATS, "y", "f", 2)
+    w, b = np.array([0.5, -0.1, 0.2, 0.0]), 1.0
+    sse, n = heldout_sse(g[1], w, b)
+    odd = np.arange(len(y)) % 2 == 1
+    assert n == odd.sum()
+    assert sse == pytest.approx(((y[odd] - b - x[odd] @ w) ** 2).sum(), rel=1e-9)
