@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.models import Linear, Regressor, label_stats
-from tessera.runtime import bounded_broadcast, stage
+from tessera.runtime import bounded_broadcast, one_wave, stage
 
 
 def fold_column(key: Sequence[str], k: int, seed: int,
@@ -141,8 +141,9 @@ def fold_gramians(df: DataFrame, features: list[str], label: str, fold: str,
         yield pd.DataFrame(rows, columns=["f", "i", "v"]).astype(
             {"f": "int32", "i": "int64", "v": "float64"})
 
-    src = df.select(F.array(*[F.col(c).cast("double") for c in features]).alias("x"),
-                    F.col(label).cast("double").alias("y"), F.col(fold).cast("int").alias("f"))
+    src = one_wave(df.select(F.array(*[F.col(c).cast("double") for c in features]).alias("x"),
+                             F.col(label).cast("double").alias("y"),
+                             F.col(fold).cast("int").alias("f")))
     sums = (src.mapInPandas(partial, "f int, i long, v double")
             .groupBy("f", "i").agg(F.sum("v").alias("v")).collect())
     g = np.zeros((k, size, size))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tessera.operators.stats import RobustScaler
-from tessera.runtime import bounded_broadcast
+from tessera.runtime import bounded_broadcast, one_wave
 
 
 class Fitted(Protocol):
@@ -226,8 +226,8 @@ class PolyRidge:
             iu = np.triu_indices(size)
             yield pd.DataFrame({"i": (iu[0] * size + iu[1]).astype("int64"), "v": acc[iu]})
 
-        src = df.select(F.array(*[F.col(c).cast("double") for c in features]).alias("x"),
-                        F.col(label).cast("double").alias("y"))
+        src = one_wave(df.select(F.array(*[F.col(c).cast("double") for c in features]).alias("x"),
+                                 F.col(label).cast("double").alias("y")))
         sums = (src.mapInPandas(partial_gram, "i long, v double")
                 .groupBy("i").agg(F.sum("v").alias("v")).collect())
         g = np.zeros((size, size))

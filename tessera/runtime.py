@@ -108,3 +108,12 @@ def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
 def scratch_dir(prefix: str = "tessera-") -> str:
     """Fresh local scratch folder (tests and bench only)."""
     return tempfile.mkdtemp(prefix=prefix)
+
+
+def one_wave(df: DataFrame) -> DataFrame:
+    """At most one task per core (narrow ``coalesce``, no shuffle) for
+    operators whose every task emits a features²-sized partial (Gramians):
+    the partial volume then scales with the cluster, not with the input's
+    split count."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(want) if df.rdd.getNumPartitions() > want else df
