@@ -89,14 +89,17 @@ class Stacking:
     k: int = 5
     seed: int = 42
     keep_features: bool = False
-    parallelism: int = 4
+    parallelism: int = 8
     fold_weights: Sequence[int] | None = None
     name: str = "stack"
 
     def fit(self, df: DataFrame, features: list[str], label: str) -> FittedStack:
         folded = assign_folds(df.select(*self.key, label, *features), self.key, self.k,
                               self.seed, self.fold_weights).persist()
-        jobs = [(b, f) for b in self.bases for f in range(self.k)]
+        # long fits (tree ensembles: many small jobs each) go first, so they
+        # do not start last and leave the pool idle behind them
+        jobs = sorted(((b, f) for b in self.bases for f in range(self.k)),
+                      key=lambda j: 0 if getattr(j[0], "kind", None) else 1)
         # label (and features for E2) ride along with the key, so the wide
         # table comes out of the one pivot shuffle without a join back
         carry = [*self.key, label, *(features if self.keep_features else [])]
