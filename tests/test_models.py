@@ -148,3 +148,15 @@ def test_heldout_sse_from_gramian(toy):
     odd = np.arange(len(y)) % 2 == 1
     assert n == odd.sum()
     assert sse == pytest.approx(((y[odd] - b - x[odd] @ w) ** 2).sum(), rel=1e-9)
+
+
+@pytest.mark.parametrize("preset", ["documented", "third_party"])
+def test_ensemble_presets_run(spark, sales_features, preset):
+    from tessera.plans.pipeline import PRESET_WEIGHTS, Options, predict_prices
+    df, feats = sales_features
+    opts = Options(preset=preset, seeds=(42,), folds=2, side_trees=3, cv_folds=2, clip=None)
+    out = predict_prices(df, feats, opts)
+    n_test = df.filter(F.col("split") == "test").count()
+    rows = out.collect()
+    assert len(rows) == n_test and all(r.log_prediction is not None for r in rows)
+    assert abs(sum(PRESET_WEIGHTS[preset].values()) - 1.0) < 1e-9
