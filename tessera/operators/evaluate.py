@@ -162,7 +162,8 @@ def _centred(gram: np.ndarray):
 
 
 def solve_on_gramian(gram: np.ndarray, kind: str, alpha: float, l1_ratio: float = 1.0,
-                     tol: float = 1e-11, max_sweeps: int = 20_000) -> tuple[np.ndarray, float]:
+                     tol: float = 1e-11, max_sweeps: int = 20_000,
+                     w0: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """(w, b) for the reference objectives from a ``[1, x, y]`` Gramian:
     ridge ``||y−Xw−b||² + α||w||²`` in closed form; lasso / elastic net
     ``1/(2n)||y−Xw−b||² + αρ||w||₁ + α(1−ρ)/2||w||²`` by coordinate descent
@@ -174,9 +175,9 @@ def solve_on_gramian(gram: np.ndarray, kind: str, alpha: float, l1_ratio: float
     else:
         rho = 1.0 if kind == "lasso" else l1_ratio
         l1, l2 = n * alpha * rho, n * alpha * (1 - rho)
-        w = np.zeros(p)
+        w = np.zeros(p) if w0 is None else w0.astype(float).copy()
         diag = np.diag(sxx).copy()
-        grad = sxy.copy()                      # sxy − sxx·w, kept up to date
+        grad = sxy - sxx @ w                   # kept up to date below
         for _ in range(max_sweeps):
             delta = 0.0
             for j in range(p):
@@ -219,9 +220,12 @@ def linear_grid_cv(df: DataFrame, features: list[str], label: str, kind: str,
     grams = fold_gramians(df, features, label, fold, k)
     total = grams.sum(axis=0)
     rows = []
-    for a in alphas:
-        for f in range(k):
-            w, b = solve_on_gramian(total - grams[f], kind, float(a))
+    for f in range(k):
+        w_prev = None
+        # descending α: each solve starts from the previous one (a path)
+        for a in sorted(alphas, reverse=True):
+            w, b = solve_on_gramian(total - grams[f], kind, float(a), w0=w_prev)
+            w_prev = w
             sse, n = heldout_sse(grams[f], w, b)
             rows.append((float(a), int(f), float(np.sqrt(sse / n)) if n else float("nan")))
     table = spark.createDataFrame(rows, "alpha double, fold int, rmsle double")

@@ -160,3 +160,12 @@ def test_ensemble_presets_run(spark, sales_features, preset):
     rows = out.collect()
     assert len(rows) == n_test and all(r.log_prediction is not None for r in rows)
     assert abs(sum(PRESET_WEIGHTS[preset].values()) - 1.0) < 1e-9
+
+
+def test_warm_start_reaches_same_lasso(toy):
+    from tessera.operators.evaluate import fold_gramians, solve_on_gramian
+    df, _, _ = toy
+    g = fold_gramians(df.withColumn("f", F.lit(0)), FEATS, "y", "f", 1)[0]
+    cold, b0 = solve_on_gramian(g, "lasso", 0.01)
+    warm, b1 = solve_on_gramian(g, "lasso", 0.01, w0=solve_on_gramian(g, "lasso", 0.2)[0])
+    assert np.allclose(cold, warm, atol=1e-8) and b0 == pytest.approx(b1, abs=1e-8)
