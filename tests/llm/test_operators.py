@@ -123,7 +123,7 @@ def test_pii_base(spark, docs, edge, which):
 def test_pii_terms(spark):
     """A word that only stands beside one address gives it away; words that
     stand everywhere, or in one passage only, do not."""
-    rows_ = [(i, f"number {n} call Zorro at zed@acme.org today please") for i, n in enumerate("abcd")]
+    rows_ = [(i, f"number {n} call Zorro at zed@acme.org today please") for i, n in enumerate(("alpha", "beta", "gamma", "delta"))]
     rows_ += [(10 + i, f"please call someone today number {i} or never") for i in range(40)]
     rows_ += [(60, "once only Hapax at solo@acme.org"), (61, "once only Hapax at solo@acme.org")]
     df = spark.createDataFrame(rows_, "doc_id long, text string")
@@ -133,7 +133,7 @@ def test_pii_terms(spark):
     text = rows_[0][1]
     at = text.index("Zorro")
     assert (at, 4, at + 5) in [tuple(s) for s in out[0]["spans"]]
-    assert out[0]["sanitised"] == "number a call  at [EMAIL] today please"
+    assert out[0]["sanitised"] == "number alpha call  at [EMAIL] today please"
     assert out[10]["spans"] == [] and out[10]["sanitised"] == rows_[4][1]
 
 
@@ -230,16 +230,18 @@ def test_close_pairs():
         assert {*zip(i.tolist(), j.tolist())} >= {tuple(p) for p in want.tolist()}
 
 
-def test_toxicity_held_out(spark, docs):
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
+def test_toxicity_held_out(spark):
+    big = SF.replace("sf0.01", "sf0.1")
+    docs, labels = (spark.read.parquet(f"{big}/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.fit(docs, labels)
     scored = toxicity.score(docs.select("doc_id", "text"), model).join(labels, "doc_id")
     out = scored.filter(toxicity.held_out(F.col("doc_id"))).select("score", "predicted", "toxic").collect()
     bad, good = [r for r in out if r["toxic"]], [r for r in out if not r["toxic"]]
     assert all((r["score"] >= 0.5) == (r["predicted"] == 1) for r in out)
     order = np.mean([[(b["score"] > g["score"]) for g in good] for b in bad])
-    assert order > 0.8  # a few dozen toxic texts to learn from
-    assert np.mean([r["predicted"] for r in good]) < 0.1
+    assert order > 0.97  # a few hundred toxic texts to learn from
+    assert np.mean([r["predicted"] for r in bad]) > 0.8
+    assert np.mean([r["predicted"] for r in good]) < 0.05
 
 
 def test_toxicity_misspelt():
