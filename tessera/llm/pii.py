@@ -14,10 +14,11 @@ its shape from ``generalise_at`` on and removed from ``remove_at`` on, wherever
 it occurs.
 
 Scale. Contexts are folded before they are counted; only terms with enough
-contexts, a small part of the vocabulary, are looked for in the corpus. What a
-text contains is keyed by the text's hash, so copies share one row. All of it is
-built-in expressions, grouped counts and joins; a side is broadcast only after
-its size is checked.
+contexts are scored, and only those that disclose something, a small part of the
+vocabulary, are looked for in the texts. What a text contains is keyed by the
+text's hash, so copies share one row; texts meet it by a join that Spark may
+broadcast or split by its real size. All of it is built-in expressions, grouped
+counts and joins; the list of terms is broadcast only after its size is checked.
 """
 
 from __future__ import annotations
@@ -103,7 +104,11 @@ def _near(text: Column, span: Column) -> Column:
     right = F.substring(text, end + 1, F.lit(REACH))
     right = F.when(F.length(right) == REACH, F.regexp_replace(right, r"\S+$", "")).otherwise(right)
     words = F.regexp_extract_all(F.lower(F.concat(left, F.lit(" "), right)), F.lit(WORD), F.lit(0))
-    return F.filter(F.array_distinct(words), lambda w: (F.length(w) >= 3) & ~w.rlike("^[0-9]+$"))
+    return F.filter(F.array_distinct(words), _a_term)
+
+
+def _a_term(word: Column) -> Column:
+    return (F.length(word) >= 3) & ~word.rlike("^[0-9]+$")
 
 
 def disclosing_terms(texts: DataFrame, support: int = 2, generalise_at: float = 0.5) -> tuple[DataFrame, DataFrame]:
@@ -122,18 +127,18 @@ def disclosing_terms(texts: DataFrame, support: int = 2, generalise_at: float =
         F.sum("docs").alias("n_et"), F.count("*").alias("contexts"))
     pairs = staged(pairs.filter(F.col("contexts") >= support), "pairs")
 
-    wanted = small(staged(pairs.select("term").distinct(), "wanted"))
-    words = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lower))
-    held = texts.select(F.xxhash64("text").alias("text_key"), F.explode(words).alias("term")).join(wanted, "term", "left_semi")
-    held = staged(held.groupBy("text_key", "term").agg(F.count("*").alias("docs")), "held")
-    n_t = held.groupBy("term").agg(F.sum("docs").alias("n_t"))
+    # how many documents hold each word: counted per task first, so a word
+    # costs a row per task, not one per document
+    words = F.filter(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lower)), _a_term)
+    words = texts.select(F.xxhash64("text").alias("text_key"), F.explode(words).alias("term"))
+    n_t = words.groupBy("term").agg(F.count("*").alias("n_t"))
     total = F.lit(float(texts.count()))
     scored = pairs.join(n_t, "term").join(entities, "entity")
     ic = F.log(total / F.col("n_e"))
     pmi = F.log(total * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
     terms = scored.filter(F.col("n_e") < total).groupBy("term").agg(F.max(F.least(pmi / ic, F.lit(1.0))).alias("disclosure"))
     terms = staged(terms.filter(F.col("disclosure") >= generalise_at), "terms")
-    marks = held.join(small(terms), "term").groupBy("text_key").agg(
+    marks = words.join(small(terms), "term").dropDuplicates(["text_key", "term"]).groupBy("text_key").agg(
         F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("terms"))
     return terms, marks
 
@@ -152,7 +157,7 @@ def find(df: DataFrame, text_col: str = "text", support: int = 2, generalise_at:
     base, spans, out, key, marks_of, text = fresh(df, "base", "spans", "sanitised", "text_key", "marks", "whole")
     texts = df.select(F.coalesce(col(text_col), F.lit("")).alias("text"))
     _, marks = disclosing_terms(texts, support, generalise_at)
-    marks = small(staged(marks, "marks")).select(F.col("text_key").alias(key), F.col("terms").alias(marks_of))
+    marks = staged(marks, "marks").select(F.col("text_key").alias(key), F.col("terms").alias(marks_of))
     whole = F.coalesce(col(text_col), F.lit(""))
     rows = df.withColumn(text, whole).join(marks, F.xxhash64(whole) == F.col(key), "left").withColumn(base, base_spans(F.col(text)))
     terms = F.when(F.col(marks_of).isNotNull(), _spans(
