@@ -19,8 +19,8 @@ numbers of the block's vocabulary and shingles are rolling hashes in numpy.
 
 from __future__ import annotations
 
-import hashlib
 import re
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -30,15 +30,14 @@ from pyspark.sql import types as T
 
 from tessera.llm.common import col, fresh, staged
 
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_LOWER = {c: c + 32 for c in range(65, 91)}
+_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def words_of(text: str | None) -> list[str]:
-    """Words: runs of characters other than ASCII non-alphanumerics, A-Z
-    lower-cased; null has none."""
-    return _WORD.findall(text.translate(_LOWER)) if text else []
+def words_of(text: str | None) -> list[bytes]:
+    """Words, in UTF-8: runs of characters other than ASCII non-alphanumerics,
+    A-Z lower-cased (``bytes.lower`` leaves other letters); null has none."""
+    return _WORD.findall(text.encode("utf-8", "surrogatepass").lower()) if text else []
 
 
 def _rolling(ids: np.ndarray, k: int) -> np.ndarray:
@@ -67,7 +66,7 @@ class Index:
     """
 
     def __init__(self, items: list[tuple], window: int, shingle: int):
-        self.vocabulary: dict[str, int] = {}
+        self.vocabulary: dict[bytes, int] = {}
         texts: dict[tuple[int, ...], set] = {}
         for item_id, text in items:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
@@ -84,17 +83,27 @@ class Index:
                        for k, ws in self.by_length.items()}
         self.prefix: dict[int, tuple] = {}
 
-    def ids(self, words: list[str]) -> np.ndarray:
-        get = self.vocabulary.get
-        return np.fromiter((get(w, 0) for w in words), dtype=np.uint64, count=len(words))
+    def ids(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.vocabulary.get, words, repeat(0)), dtype=np.uint64, count=len(words))
+
+    def _places(self, ids: np.ndarray, k: int, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts of the document's shingles that are among the sorted
+        ``tokens``, and the first place of each there."""
+        at = _known(ids, k)
+        if not len(at):
+            return at, at
+        h = _rolling(ids, k)[at]
+        place = np.minimum(np.searchsorted(tokens, h), len(tokens) - 1)
+        same = tokens[place] == h
+        return at[same], place[same]
 
     def seen(self, ids: np.ndarray):
-        """``(k, token)`` arrays of the block's shingles in a document."""
+        """``(k, places)``: the block's shingles in a document, as places in
+        ``tokens[k]``."""
         for k, tokens in self.tokens.items():
-            at = _known(ids, k)
-            if len(at):
-                h = _rolling(ids, k)[at]
-                yield k, h[np.isin(h, tokens)]
+            place = self._places(ids, k, tokens)[1]
+            if len(place):
+                yield k, place
 
     def order(self, counts: dict[tuple[int, int], int]) -> None:
         """File each window under its rarest shingle (ties: the leftmost)."""
@@ -112,15 +121,10 @@ class Index:
         """Spans of hit words ``[start, end)`` and the items found."""
         spans, found = [], set()
         for k, (tokens, windows, offsets) in self.prefix.items():
-            at = _known(ids, k)
-            if not len(at):
-                continue
-            h = _rolling(ids, k)[at]
-            lo, hi = np.searchsorted(tokens, h), np.searchsorted(tokens, h, side="right")
-            for i in np.flatnonzero(hi > lo):
-                for r in range(lo[i], hi[i]):
+            for at, lo in zip(*self._places(ids, k, tokens)):
+                for r in range(lo, np.searchsorted(tokens, tokens[lo], side="right")):
                     w = self.windows[windows[r]]
-                    start = int(at[i]) - int(offsets[r])
+                    start = int(at) - int(offsets[r])
                     # length and positional bounds, then the words themselves
                     if start >= 0 and start + len(w) <= len(ids) and np.array_equal(ids[start:start + len(w)], w):
                         spans.append((start, start + len(w)))
@@ -187,14 +191,15 @@ def _count(docs: DataFrame, text_col: str, index: Index) -> dict[tuple[int, int]
     shared = spark.sparkContext.broadcast(index)
 
     def run(batches):
-        index, total = shared.value, {}
+        index = shared.value
+        total = {k: np.zeros(len(t), dtype=np.int64) for k, t in index.tokens.items()}
         for pdf in batches:
             for text in pdf.iloc[:, 0]:
-                for k, h in index.seen(index.ids(words_of(text))):
-                    for token, n in zip(*np.unique(h, return_counts=True)):
-                        total[(k, int(token))] = total.get((k, int(token)), 0) + int(n)
-        rows = [(k, np.uint64(t).astype(np.int64), n) for (k, t), n in total.items()]
-        yield pd.DataFrame(rows, columns=["k", "token", "n"])
+                for k, places in index.seen(index.ids(words_of(text))):
+                    np.add.at(total[k], places, 1)
+        for k, n in total.items():
+            some = np.flatnonzero(n)
+            yield pd.DataFrame({"k": k, "token": index.tokens[k][some].view(np.int64), "n": n[some]})
     counted = docs.select(col(text_col)).mapInPandas(run, "k int, token long, n long")
     rows = counted.groupBy("k", "token").agg(F.sum("n").alias("n")).collect()
     return {(r["k"], r["token"] % (1 << 64)): r["n"] for r in rows}
@@ -215,6 +220,3 @@ def _pass(index: Index, state: T.StructType, spark):
         return pd.DataFrame(rows, columns=["n_words", "items", "spans"])
     return run
 
-
-def sha256_of(items) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
