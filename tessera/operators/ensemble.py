@@ -100,26 +100,29 @@ class Stacking:
         # do not start last and leave the pool idle behind them
         jobs = sorted(((b, f) for b in self.bases for f in range(self.k)),
                       key=lambda j: 0 if getattr(j[0], "kind", None) else 1)
-        # label (and features for E2) ride along with the key, so the wide
-        # table comes out of the one pivot shuffle without a join back
+        # label (and features for E2) ride along with the key
         carry = [*self.key, label, *(features if self.keep_features else [])]
 
         def one(job):
             b, f = job
-            fitted = b.fit(folded.filter(F.col("fold") != f), features, label)
-            held = fitted.predict(folded.filter(F.col("fold") == f), "pred")
-            return b.name, f, fitted, held.select(*carry, F.lit(b.name).alias("base"), "pred")
+            return b.name, f, b.fit(folded.filter(F.col("fold") != f), features, label)
 
         with ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as pool:
             results = list(pool.map(one, jobs))
         fold_models: dict[str, list] = {b.name: [None] * self.k for b in self.bases}
-        long = None
-        for name, f, fitted, part in results:
+        for name, f, fitted in results:
             fold_models[name][f] = fitted
-            long = part if long is None else long.unionByName(part)
         names = [b.name for b in self.bases]
-        oof = stage(long.groupBy(*carry).pivot("base", names).agg(F.first("pred")),
-                    f"{self.name}-oof-seed{self.seed}")
+        # each held-out row is scored by all members where it stands: rows
+        # with equal keys stay apart and nothing is shuffled
+        oof = None
+        for f in range(self.k):
+            part = folded.filter(F.col("fold") == f)
+            for name in names:
+                part = fold_models[name][f].predict(part, name)
+            part = part.select(*carry, *names)
+            oof = part if oof is None else oof.unionByName(part)
+        oof = stage(oof, f"{self.name}-oof-seed{self.seed}")
         meta_in = oof
         meta_feats = names + (features if self.keep_features else [])
         meta = self.meta.fit(meta_in, meta_feats, label)

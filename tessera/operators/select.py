@@ -18,6 +18,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 from pyspark.sql.window import Window
 
 from tessera.functions.expr import CORRELATION_CUT, MI_TOP_K, VARIANCE_CUT
@@ -50,6 +51,8 @@ def dominance(df: DataFrame, columns: list[str]) -> DataFrame:
     size-checked broadcast (one row per column). No window, so a column with
     very many distinct values is never gathered into one task.
     """
+    # ties go to the smallest value: by number in numeric columns, else by text
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     long = (df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
         for c in columns])).alias("kv"))
@@ -59,7 +62,9 @@ def dominance(df: DataFrame, columns: list[str]) -> DataFrame:
                                          F.sum("c").cast("long").alias("n"))
     top = (counts.join(bounded_broadcast(per), on="feature")
            .filter(F.col("c") == F.col("top_count"))
-           .groupBy("feature", "top_count", "n").agg(F.min("value").alias("top_value")))
+           .withColumn("num", F.when(F.col("feature").isin(numeric), F.expr("try_cast(value AS double)")))
+           .groupBy("feature", "top_count", "n")
+           .agg(F.min_by("value", F.struct("num", "value")).alias("top_value")))
     return top.select("feature", "top_value", "top_count", "n",
                       (F.col("top_count") / F.col("n")).alias("dominance"))
 

@@ -86,12 +86,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition only when the plan has fewer partitions than
-    the cluster runs tasks at once (a source with one row group, a tiny
-    aggregate); a large input already has enough splits and is left alone,
-    so no extra shuffle happens at scale."""
+    """Round-robin repartition only when the plan reads fewer files than the
+    cluster runs tasks at once (the test tables have one row group each); a
+    large input has enough splits and is left alone. The plan's file list is
+    looked at, no part of the plan is run."""
     want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    return df.repartition(want) if len(df.inputFiles()) < want else df
 
 
 def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -105,15 +105,9 @@ def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
     return F.broadcast(small) if n <= max_rows else small
 
 
-def scratch_dir(prefix: str = "tessera-") -> str:
-    """Fresh local scratch folder (tests and bench only)."""
-    return tempfile.mkdtemp(prefix=prefix)
-
-
 def one_wave(df: DataFrame) -> DataFrame:
     """At most one task per core (narrow ``coalesce``, no shuffle) for
     operators whose every task emits a features²-sized partial (Gramians):
     the partial volume then scales with the cluster, not with the input's
     split count."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.coalesce(want) if df.rdd.getNumPartitions() > want else df
+    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism)

@@ -224,3 +224,21 @@ def test_statistics_invariant_under_repartition(spark):
         sb = BoxCoxSkewed(["x"]).fit(df_b).skews["x"]
         assert sa == pytest.approx(sb, rel=1e-12)
         assert ModeImputer(["g"]).fit(df_a).modes == ModeImputer(["g"]).fit(df_b).modes
+
+
+def test_mode_tie_is_numeric(spark):
+    from tessera.operators.impute import ModeImputer
+    df = spark.createDataFrame([(2, "2"), (2, "2"), (10, "10"), (10, "10"), (None, None)], "n int, t string")
+    assert ModeImputer(["n", "t"]).fit(df).modes == {"n": 2, "t": "10"}
+
+
+def test_stacking_keeps_rows_with_equal_keys(spark):
+    from tessera.operators.ensemble import Stacking
+    from tessera.operators.models import ridge
+    rows = [(i // 2, float(i % 7), float(i % 7) * 2 + 1) for i in range(200)]
+    rows += rows[:20]  # and whole rows repeated
+    df = spark.createDataFrame(rows, "k long, x double, y double")
+    bases = [ridge(1.0, name="a"), ridge(2.0, name="b")]
+    stack = Stacking(bases=bases, meta=ridge(1.0, name="m"), key=["k"], k=3)
+    fitted = stack.fit(df, ["x"], "y")
+    assert fitted.oof.count() == len(rows)
