@@ -1,9 +1,8 @@
 """Encoders: alphabetical label codes (N1), graded maps (N2), one-hot.
 
-Fit collects the distinct values per column (a table that grows with the
-number of categories, not with rows; its size is checked). Apply is a
-literal map lookup or a list of ``==`` tests inside one projection, so no
-join and no shuffle is needed when scoring.
+Fit finds the distinct values per column (a table that grows with the
+number of categories, not with rows). Apply is a projection: a literal map
+lookup or a list of ``==`` tests; columns of many levels are coded by a join.
 """
 
 from __future__ import annotations
@@ -14,11 +13,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tessera.functions.expr import lookup
+from tessera.runtime import bounded_broadcast, stage
 
-# Most distinct values per column an encoder ships to the tasks as a literal.
-MAX_CATEGORIES = 10_000
+# A map literal is searched value by value; with more levels than this, codes
+# come from a join with the level table. The answer is the same.
+LITERAL_LEVELS = 32
 
 
 def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -33,36 +35,37 @@ def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
     return long.filter(F.col("value").isNotNull()).distinct()
 
 
-def _collect_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    bound = MAX_CATEGORIES * max(1, len(columns))
-    rows = distinct_values(df, columns).limit(bound + 1).collect()   # one job, size-checked
-    if len(rows) > bound:
-        raise ValueError(f"more than {bound} distinct values: too many to encode as literals")
-    levels: dict[str, list[str]] = {c: [] for c in columns}
-    for r in rows:
-        levels[r["column"]].append(r["value"])
-    for c in levels:
-        levels[c].sort(key=lambda s: s.encode("utf-8"))   # byte order, as Spark sorts
-    return levels
-
-
 @dataclass
 class LabelEncoder:
-    """Codes 0..m−1 by sorted text (N1): '1','10','11','12','2',… as in the reference."""
+    """Codes 0..m−1 by sorted text (N1): '1','10','11','12','2',… as in the reference.
+
+    Any number of levels. Level tables are fitted and stay in Spark; only
+    those of at most ``LITERAL_LEVELS`` rows are put into the plan.
+    """
 
     columns: list[str]
-    levels: dict[str, list[str]] = field(default_factory=dict)
+    table: DataFrame | None = None
 
     def fit(self, df: DataFrame) -> "LabelEncoder":
-        self.levels = _collect_levels(df, self.columns)
+        order = Window.partitionBy("column").orderBy("value")   # byte order
+        self.table = stage(distinct_values(df, self.columns).withColumn(
+            "code", (F.row_number().over(order) - 1).cast("int")), "levels")
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
+        few = self.table.filter(F.col("code") < LITERAL_LEVELS).collect()
+        long = {r["column"] for r in self.table.filter(F.col("code") >= LITERAL_LEVELS).select("column").distinct().collect()}
+        codes = {c: {r["value"]: r["code"] for r in few if r["column"] == c} for c in self.columns}
+        names, cur = df.columns, df
+        for i, c in enumerate(c for c in self.columns if c in long):
+            levels = self.table.filter(F.col("column") == c).select(
+                F.col("value").alias(f"__value{i}"), F.col("code").alias(f"__code_{c}"))
+            cur = cur.join(bounded_broadcast(levels), F.col(c).cast("string") == F.col(f"__value{i}"), "left")
         todo = set(self.columns)
-        return df.select([
-            lookup(F.col(c).cast("string"), {v: i for i, v in enumerate(self.levels[c])})
-            .cast("int").alias(c) if c in todo else F.col(c)
-            for c in df.columns
+        return cur.select([
+            F.col(c) if c not in todo else F.col(f"__code_{c}").alias(c) if c in long
+            else lookup(F.col(c).cast("string"), codes[c]).cast("int").alias(c)
+            for c in names
         ])
 
 
@@ -88,25 +91,39 @@ class OneHot:
 
     Output order follows the reference's dummy expansion: the kept columns
     first, then per encoded column its dummies in value order. Values not
-    seen at fit time give all zeros at score time.
+    seen at fit time give all zeros at score time. Of values whose names would be
+    equal, the later ones get a number: ``c_a_b``, ``c_a_b_2``.
     """
 
     columns: list[str]
     levels: dict[str, list[str]] = field(default_factory=dict)
+    names: dict[tuple[str, str], str] = field(default_factory=dict)
 
     def fit(self, df: DataFrame) -> "OneHot":
-        self.levels = _collect_levels(df, self.columns)
+        """One output column per level, so the levels are as many as columns."""
+        found = distinct_values(df, self.columns).orderBy("column", "value").collect()
+        self.levels = {c: [r["value"] for r in found if r["column"] == c] for c in self.columns}
+        taken = {c.lower() for c in df.columns if c not in self.columns}
+        self.names = {}
+        for c in self.columns:
+            for v in self.levels[c]:
+                plain = name = dummy_name(c, v)
+                n = 1
+                while name.lower() in taken:
+                    n += 1
+                    name = f"{plain}_{n}"
+                taken.add(name.lower())
+                self.names[c, v] = name
         return self
 
     def dummy_names(self) -> list[str]:
-        return [dummy_name(c, v) for c in self.columns for v in self.levels[c]]
+        return list(self.names.values())
 
     def transform(self, df: DataFrame) -> DataFrame:
         todo = set(self.columns)
         kept = [F.col(c) for c in df.columns if c not in todo]
         dummies = [
-            F.coalesce((F.col(c).cast("string") == F.lit(v)).cast("int"), F.lit(0))
-            .alias(dummy_name(c, v))
-            for c in self.columns for v in self.levels[c]
+            F.coalesce((F.col(c).cast("string") == F.lit(v)).cast("int"), F.lit(0)).alias(name)
+            for (c, v), name in self.names.items()
         ]
         return df.select(*kept, *dummies)

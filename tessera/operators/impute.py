@@ -12,8 +12,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.stats import exact_columns, quantiles
-from tessera.runtime import bounded_broadcast
+from tessera.operators.stats import group_quantiles
+from tessera.runtime import bounded_broadcast, stage
 
 
 def drop_outliers(df: DataFrame, condition: Column, only_where: Column | None = None) -> DataFrame:
@@ -73,30 +73,21 @@ class GroupMedianImputer:
     * a row whose group key is NULL becomes NULL, even if it had a value
       (the grouped transform of the reference drops NULL keys).
 
-    Fit is ``groupBy(by).agg(percentile(x, 0.5))``: an exact percentile
-    aggregate whose partial state is a value → count map, so a hot group is
-    combined on the map side and never sorted whole in one task (a window
-    would). A column whose distinct count within some group exceeds the
-    exact limit uses ``percentile_approx`` (``exact=None``, the default;
-    ``exact=True/False`` forces one form). The group table is joined back,
-    broadcast only when its size is checked.
+    Fit is :func:`stats.group_quantiles`: exact at every size, and a hot group
+    is counted on the map side, never sorted whole in one task. The group
+    table is joined back, broadcast only when its size is checked.
     """
 
     columns: list[str]
     by: str
-    exact: bool | None = None
     table: DataFrame | None = None
-    approximated: list[str] = field(default_factory=list)
 
     def fit(self, df: DataFrame) -> "GroupMedianImputer":
-        ok = exact_columns(df, self.columns, by=self.by) if self.exact is None else (
-            set(self.columns) if self.exact else set())
-        self.approximated = [c for c in self.columns if c not in ok]
-        self.table = (df.groupBy(self.by)
-                      .agg(*[quantiles(F.col(c).cast("double"), [0.5], c in ok)[0]
-                             .alias(f"__med_{c}") for c in self.columns])
-                      .filter(F.col(self.by).isNotNull())
-                      .persist())
+        long = df.filter(F.col(self.by).isNotNull()).select(self.by, F.explode(F.array(*[
+            F.struct(F.lit(i).alias("at"), F.col(c).cast("double").alias("x")) for i, c in enumerate(self.columns)])).alias("kv"))
+        found = group_quantiles(long.select(self.by, "kv.*"), [self.by, "at"], [0.5])
+        self.table = stage(found.groupBy(self.by).agg(*[
+            F.max(F.when(F.col("at") == i, F.col("q")[0])).alias(f"__med_{c}") for i, c in enumerate(self.columns)]), "medians")
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:

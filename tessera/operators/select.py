@@ -116,8 +116,10 @@ def upper_triangle_drops(names: list[str], corr, cut: float) -> list[str]:
 class CorrelationFilter:
     """Drop near-duplicate features, |Pearson r| > cut with an earlier one.
 
-    The p×p matrix comes from ``Correlation.corr`` (one distributed pass
-    building the covariance); only p² numbers reach the driver.
+    Each r is taken over the rows that have both values (NaN counts as
+    missing). Columns without a missing value share one distributed pass
+    (``Correlation.corr``); pairs with one are ``corr`` aggregates, in
+    chunks. Only p² numbers reach the driver.
     """
 
     features: list[str]
@@ -126,12 +128,18 @@ class CorrelationFilter:
     dropped: list[str] = field(default_factory=list)
 
     def fit(self, df: DataFrame) -> "CorrelationFilter":
-        vec = VectorAssembler(inputCols=self.features, outputCol="__f",
-                              handleInvalid="skip").transform(
-            df.select([F.col(c).cast("double").alias(c) for c in self.features]))
-        m = Correlation.corr(vec, "__f").head()[0].toArray()
-        self.matrix = [[float(m[i][j]) for j in range(len(self.features))]
-                       for i in range(len(self.features))]
+        x = df.select([F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in self.features])
+        gaps = collect_agg(x, {c: F.count_if(F.col(c).isNull()) for c in self.features})
+        whole = [c for c in self.features if not gaps[c]]
+        r = {}
+        if len(whole) > 1:
+            vec = VectorAssembler(inputCols=whole, outputCol="__f").transform(x.select(whole))
+            m = Correlation.corr(vec, "__f").head()[0].toArray()
+            r = {(a, b): float(m[i][j]) for i, a in enumerate(whole) for j, b in enumerate(whole)}
+        pairs = [(a, b) for j, b in enumerate(self.features) for a in self.features[:j] if gaps[a] or gaps[b]]
+        some = collect_agg(x, {(a, b): F.corr(a, b) for a, b in pairs})
+        r |= {q: v for (a, b), v in some.items() for q in ((a, b), (b, a))}
+        self.matrix = [[1.0 if a == b else r.get((a, b)) for b in self.features] for a in self.features]
         self.dropped = upper_triangle_drops(self.features, self.matrix, self.cut)
         return self
 
@@ -237,8 +245,8 @@ class TopKSelector:
     kept: list[str] = field(default_factory=list)
 
     def fit(self, df: DataFrame) -> "TopKSelector":
-        if self.k >= len(self.features):
-            # k = min(k, p) keeps every feature: the scores cannot change the result
+        if self.k >= len(self.features) and self.score_fn is None:
+            # k = min(k, p) keeps every feature: the MI scores cannot change the result
             self.kept = list(self.features)
             return self
         fn = self.score_fn or mutual_information

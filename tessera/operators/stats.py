@@ -14,8 +14,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tessera.functions.expr import BOXCOX_LAMBDA, PCA_SHARE, SKEW_CUT, boxcox1p
+from tessera.runtime import bounded_broadcast, stage
 
 
 # Aggregates per pass when a statistic is taken of many columns: very wide
@@ -75,71 +77,104 @@ class BoxCoxSkewed:
                           for c in df.columns])
 
 
-# The exact percentile aggregate keeps a value → count map and merges it in
-# one task per group; above this many distinct values a column (or group)
-# switches to percentile_approx, whose memory is fixed by its accuracy.
-EXACT_DISTINCT_LIMIT = 1_000_000
-APPROX_ACCURACY = 100_000
+def group_quantiles(values: DataFrame, by: list[str], probs: list[float], gather: int = 20_000,
+                    accuracy: int = 1000) -> DataFrame:
+    """Exact, linearly interpolated quantiles of ``x`` per group of ``by``:
+    ``(by..., q)`` with one array element per probability, at every size.
 
-
-def exact_columns(df: DataFrame, columns: list[str], limit: int = EXACT_DISTINCT_LIMIT,
-                  by: str | None = None) -> set[str]:
-    """Columns whose distinct count (per group of ``by``, if given) is within
-    ``limit`` by a HyperLogLog estimate — one cheap aggregation."""
-    if df.count() <= limit:
-        return set(columns)          # no column can have more distinct values than rows
-    est = {c: F.approx_count_distinct(c, 0.05) for c in columns}
-    if by is None:
-        got = collect_agg(df, est)
-    else:
-        per = df.groupBy(by).agg(*[e.alias(c) for c, e in est.items()])
-        got = collect_agg(per, {c: F.max(c) for c in columns})
-    return {c for c in columns if (got[c] or 0) <= limit}
+    A group's values are split at approximate quantiles (fixed memory, only
+    pivots: their error moves no result) and counted per slice. Only slices that
+    hold a wanted rank are kept, as ``(value, count)`` rows, and are split again
+    until a group has at most ``gather`` different values left; the ranks are
+    read off those. NULL and NaN are left out; a group without a value has
+    no row, equal NULL keys are a group.
+    """
+    keys = [f"k{i}" for i in range(len(by))]
+    p = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(v)).alias("p")) for i, v in enumerate(probs)]))
+    rows = values.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], F.col("x").cast("double").alias("x"),
+                         F.lit(1).cast("long").alias("c")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    # around each wanted rank a narrow slice, far wider than the pivots' error
+    margin = 4.0 / accuracy
+    grid = sorted({min(1.0, max(0.0, v + s)) for v in probs for s in (-margin, margin)})
+    ranks = None
+    while True:
+        cut = stage(rows.groupBy(*keys).agg(
+            F.sum("c").alias("n"), F.percentile_approx("x", grid, accuracy).alias("pivots")), "pivots")
+        if ranks is None:
+            at = cut.select(*keys, "n", p.alias("p")).select(
+                *keys, F.col("p.i").alias("i"), (F.col("p.p") * (F.col("n") - 1)).alias("position"))
+            ranks = at.select(*keys, "i", "position", F.explode(F.array_distinct(F.array(
+                F.floor("position"), F.ceil("position")))).alias("rank")).withColumn("r", F.col("rank"))
+        cut = cut.select(*[F.col(k).alias(f"{k}_") for k in keys], "pivots")
+        sliced = rows.join(bounded_broadcast(cut), _same(keys, [f"{k}_" for k in keys])).withColumn(
+            "slice", F.size(F.filter("pivots", lambda v: v < F.col("x")))).select(*keys, "slice", "x", "c")
+        # at most one row per pivot and group
+        sizes = stage(sliced.groupBy(*keys, "slice").agg(F.sum("c").alias("c")), "slices")
+        before = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+        sizes = sizes.withColumn("before", F.coalesce(F.sum("c").over(before), F.lit(0))).select(
+            *[F.col(k).alias(f"{k}_") for k in keys], "slice", F.col("c").alias("size"), "before")
+        placed = ranks.join(sizes, _same(keys, [f"{k}_" for k in keys]) & (F.col("r") >= F.col("before")) & (
+            F.col("r") < F.col("before") + F.col("size")))
+        placed = stage(placed.select(*keys, "i", "position", "rank", (F.col("r") - F.col("before")).alias("r"), "slice"), "ranks")
+        needed = placed.select(*[F.col(k).alias(f"{k}_") for k in keys], F.col("slice").alias("slice_")).distinct()
+        cells = sliced.join(bounded_broadcast(needed), _same([*keys, "slice"], [f"{k}_" for k in (*keys, "slice")]), "left_semi")
+        cells = stage(cells.groupBy(*keys, "slice", "x").agg(F.sum("c").alias("c")), "cells")
+        most = cells.groupBy(*keys, "slice").count().agg(F.max("count")).first()[0]
+        if (most or 0) <= gather:
+            break
+        # a slice is a group of its own from here on
+        rows = cells.withColumnRenamed("slice", f"k{len(keys)}")
+        ranks = placed.withColumnRenamed("slice", f"k{len(keys)}")
+        keys = [*keys, f"k{len(keys)}"]
+        grid = [i / 64 for i in range(1, 64)]
+    upto = Window.partitionBy(*keys, "slice").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = cells.withColumn("upto", F.sum("c").over(upto)).select(
+        *[F.col(k).alias(f"{k}_") for k in (*keys, "slice")], "x", "upto", (F.col("upto") - F.col("c")).alias("from"))
+    found = placed.join(cells, _same([*keys, "slice"], [f"{k}_" for k in (*keys, "slice")]) & (F.col("r") >= F.col("from")) & (
+        F.col("r") < F.col("upto")))
+    group = [F.col(k) for k in keys[:len(by)]]
+    found = found.groupBy(*group, "i").agg(
+        F.min("x").alias("low"), F.max("x").alias("high"), F.first("position").alias("position"))
+    between = F.col("position") - F.floor("position")
+    value = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(
+        (1 - between) * F.col("low") + between * F.col("high"))
+    out = found.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("i", value.alias("v")))).alias("q"))
+    return out.select(*[k.alias(c) for k, c in zip(group, by)], F.col("q.v").alias("q"))
+
+
+def _same(left: list[str], right: list[str]) -> Column:
+    out = F.lit(True)
+    for a, b in zip(left, right):
+        out = out & F.col(a).eqNullSafe(F.col(b))
+    return out
 
 
-def quantiles(x: Column, probs: list[float], exact: bool,
-              accuracy: int = APPROX_ACCURACY) -> Column:
-    """Linearly interpolated exact percentiles, or the approximate ones."""
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    return F.percentile(x, arr) if exact else F.percentile_approx(x, arr, accuracy)
+def column_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict[str, list[float]]:
+    """Quantiles of whole columns; a column without a value is left out."""
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in columns])).alias("kv"))
+    return {r["feature"]: r["q"] for r in group_quantiles(long.select("kv.*"), ["feature"], probs).collect()}
 
 
 @dataclass
 class RobustScaler:
     """(x − median) / (q75 − q25), a zero spread divides by 1.
 
-    Quartiles are exact and linearly interpolated (``percentile``), in
-    codegen-sized chunks of columns. ``exact=None`` (default) keeps them
-    exact for every column with at most ``EXACT_DISTINCT_LIMIT`` distinct
-    values and uses ``percentile_approx`` beyond (bounded memory);
-    ``exact=True/False`` forces one form. Spark ML's RobustScaler is not
-    used: it maps zero-spread columns to 0, which would erase nearly every
-    one-hot column.
+    Quartiles are exact and linearly interpolated at every size
+    (:func:`group_quantiles`). Spark ML's
+    RobustScaler is not used: it maps zero-spread columns to 0, which would
+    erase nearly every one-hot column.
     """
 
     columns: list[str]
-    exact: bool | None = None
-    accuracy: int = APPROX_ACCURACY
     center: dict[str, float] = field(default_factory=dict)
     scale: dict[str, float] = field(default_factory=dict)
-    approximated: list[str] = field(default_factory=list)
 
     def fit(self, df: DataFrame) -> "RobustScaler":
-        if self.exact is None:
-            ok = exact_columns(df, self.columns)
-        else:
-            ok = set(self.columns) if self.exact else set()
-        self.approximated = [c for c in self.columns if c not in ok]
-        qs = collect_agg(df, {c: quantiles(F.col(c).cast("double"), [.25, .5, .75], c in ok,
-                                           self.accuracy) for c in self.columns})
+        qs = column_quantiles(df, self.columns, [.25, .5, .75]) if self.columns else {}
         for c in self.columns:
-            q = qs[c]
-            if q is None:
-                self.center[c], self.scale[c] = 0.0, 1.0
-                continue
-            spread = q[2] - q[0]
-            self.center[c] = q[1]
-            self.scale[c] = spread if spread != 0 else 1.0
+            low, mid, high = qs.get(c, (0.0, 0.0, 0.0))
+            self.center[c], self.scale[c] = mid, (high - low) or 1.0
         return self
 
     def expressions(self) -> dict[str, Column]:
@@ -156,19 +191,14 @@ def pca_keep_share(df: DataFrame, array_col: str, keep: list[str],
     """PCA keeping the smallest k whose explained variance reaches ``share`` (T4).
 
     Input is an array column. The columns are robust-scaled first (median
-    and quartiles from one aggregation over the exploded values, grouped by
-    position — at most dimension-many groups; approximate when a dimension
-    has more distinct values than the exact aggregate should hold), then
+    and quartiles of the values at each position, exact at every size), then
     mean-centred, because
     Spark's PCA projects without centring. Returns (frame with ``pcs``
     array, k).
     """
     dims = df.select(F.size(array_col).alias("d")).agg(F.max("d")).first()[0]
     long = df.select(F.posexplode(array_col).alias("pos", "x"))
-    exact = bool(exact_columns(long, ["x"], by="pos"))
-    q = (long.groupBy("pos")
-         .agg(quantiles(F.col("x").cast("double"), [.25, .5, .75], exact).alias("q"))
-         .collect())
+    q = group_quantiles(long, ["pos"], [.25, .5, .75]).collect()
     med = [0.0] * dims
     spread = [1.0] * dims
     for r in q:

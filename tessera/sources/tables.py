@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -44,13 +44,25 @@ def read_csv_table(spark: SparkSession, path: str, schema: StructType,
                    string_na: bool = True) -> DataFrame:
     """Header CSV with an explicit schema (S1/S2); never ``inferSchema``.
 
-    ``NA`` becomes null on read; with ``string_na`` the whole token list of
-    :data:`NA_TOKENS` is applied to the string columns as well, which is
-    what the studied scripts get from their reader (including ``None``).
+    Every token of :data:`NA_TOKENS` is a null in columns that are not text;
+    with ``string_na`` in text columns too, else only ``NA`` is, there. Any
+    other value that is not of its column's type fails the read.
     """
-    df = (spark.read.schema(schema).option("header", True)
+    text = StructType([StructField(f.name, StringType()) for f in schema.fields])
+    df = (spark.read.schema(text).option("header", True)
           .option("nullValue", "NA").option("mode", "FAILFAST").csv(path))
-    return normalise_na_tokens(df) if string_na else df
+    df = normalise_na_tokens(df, None if string_na else [
+        f.name for f in schema.fields if not isinstance(f.dataType, StringType)])
+
+    def typed(f):
+        if isinstance(f.dataType, StringType):
+            return F.col(f.name)
+        value = F.col(f.name).try_cast(f.dataType)
+        bad = F.col(f.name).isNotNull() & value.isNull()
+        wrong = F.raise_error(F.concat(F.lit(f"column {f.name} has the value "), F.col(f.name))).cast(f.dataType)
+        return F.when(bad, wrong).otherwise(value).alias(f.name)
+
+    return df.select([typed(f) for f in schema.fields])
 
 
 def labelled_unlabelled(labelled: DataFrame, unlabelled: DataFrame,

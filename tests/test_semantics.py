@@ -187,16 +187,74 @@ def test_union_by_name_and_na_tokens(spark):
     assert fill_constant(u, {"c": "None"}).filter("c = 'None'").count() == 2
 
 
-def test_exact_limit_switches_to_approx(spark):
-    from tessera.operators.stats import exact_columns, quantiles
-    df = spark.range(2000).select((F.col("id") * 1.0).alias("x"), (F.col("id") % 3).alias("g"),
-                                  (F.col("id") % 4).alias("code"))
-    assert exact_columns(df, ["x", "code"], limit=100) == {"code"}
-    assert exact_columns(df, ["x", "code"], limit=100, by="g") == {"code"}
-    assert exact_columns(df, ["x", "code"], limit=5000) == {"x", "code"}   # rows ≤ limit
-    ex, ap = df.agg(quantiles(F.col("x"), [.5], True).alias("e"),
-                    quantiles(F.col("x"), [.5], False).alias("a")).first()
-    assert ex[0] == 999.5 and abs(ap[0] - 999.5) <= 1.0
+def test_quantiles_do_not_depend_on_pivots_or_size(spark):
+    import numpy as np
+    from tessera.operators.stats import group_quantiles
+    rng = np.random.default_rng(3)
+    groups = {"a": rng.normal(size=3000), "b": np.repeat([1.0, 2.0, 10.0, 20.0], 1), "c": rng.integers(0, 5, 900) * 1.0,
+              "d": np.array([7.0]), None: rng.exponential(size=41) ** 4}
+    rows = [(g, float(x)) for g, v in groups.items() for x in v] + [("a", None), ("e", None), ("b", float("nan"))]
+    df = spark.createDataFrame(rows, "g string, x double")
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    for gather, accuracy in ((20_000, 1000), (10, 8), (1, 50)):     # coarse pivots, several rounds
+        got = {r["g"]: r["q"] for r in group_quantiles(df, ["g"], probs, gather, accuracy).collect()}
+        assert set(got) == set(groups)
+        for g, v in groups.items():
+            assert np.allclose(got[g], np.quantile(v, probs), rtol=1e-12, atol=0), (g, gather)
+
+
+def test_no_values_no_quantiles(spark):
+    from tessera.operators.stats import column_quantiles
+    df = spark.createDataFrame([], "x double, y double")
+    assert column_quantiles(df, ["x", "y"], [0.5]) == {}
+
+
+def test_correlation_uses_rows_with_both_values(spark):
+    from tessera.operators.select import CorrelationFilter
+    rows = [(float(i), 2.0 * i, None if i % 2 else -1.0 * i, float((i * 7) % 5)) for i in range(20)]
+    f = CorrelationFilter(["a", "b", "c", "d"], 0.95).fit(spark.createDataFrame(rows, "a double, b double, c double, d double"))
+    assert f.dropped == ["b", "c"]
+    assert abs(f.matrix[0][2] + 1) < 1e-9 and abs(f.matrix[2][0] + 1) < 1e-9
+
+
+def test_score_function_always_runs(spark):
+    from tessera.operators.select import TopKSelector
+    calls = []
+
+    def score(df, features, label):
+        calls.append(features)
+        return df.sparkSession.createDataFrame([(c, i, float(i)) for i, c in enumerate(features)], "feature string, position int, mi double")
+    df = spark.createDataFrame([(1.0, 2.0, 3.0)], "a double, b double, y double")
+    assert TopKSelector(["a", "b"], "y", 5, score).fit(df).kept == ["a", "b"] and calls
+
+
+def test_dummy_names_do_not_collide(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, "a-b"), (3, "a_b"), (4, None)], "c_a_b_2 int, c string")
+    hot = OneHot(["c"]).fit(df)
+    assert hot.dummy_names() == ["c_a_b", "c_a_b_3", "c_a_b_4"]
+    got = [tuple(r) for r in hot.transform(df).orderBy("c_a_b_2").collect()]
+    assert got == [(1, 1, 0, 0), (2, 0, 1, 0), (3, 0, 0, 1), (4, 0, 0, 0)]
+
+
+def test_label_codes_of_many_levels_come_from_a_join(spark):
+    from tessera.operators.encode import LabelEncoder
+    df = spark.createDataFrame([(i, str(i % 50), "x" if i % 2 else None) for i in range(120)], "id int, c string, few string")
+    got = {r.id: (r.c, r.few) for r in LabelEncoder(["c", "few"]).fit(df).transform(df).collect()}
+    rank = {v: i for i, v in enumerate(sorted(map(str, range(50))))}
+    assert got == {i: (rank[str(i % 50)], 0 if i % 2 else None) for i in range(120)}
+
+
+def test_na_tokens_in_number_columns(spark, tmp_path):
+    import pytest
+    from pyspark.sql.types import StructType
+    from tessera.sources.tables import read_csv_table
+    schema = StructType.fromDDL("a int, b double, c string")
+    (tmp_path / "good.csv").write_text("a,b,c\n1,N/A,x\nnull,2.5,None\n3,nan,NA\n")
+    got = [tuple(r) for r in read_csv_table(spark, str(tmp_path / "good.csv"), schema).collect()]
+    assert got == [(1, None, "x"), (None, 2.5, None), (3, None, None)]
+    (tmp_path / "bad.csv").write_text("a,b,c\none,1,x\n")
+    with pytest.raises(Exception, match="column a"):
+        read_csv_table(spark, str(tmp_path / "bad.csv"), schema).collect()
 
 
 def test_hot_group_median_and_dominance(spark):
