@@ -5,7 +5,8 @@ under the smallest node it sees, until only stars are left. Every round is two
 grouped minima (combined map-side) and two joins, written to the checkpoint
 folder; no edge or component reaches the driver, only a row count and a
 checksum do. A node with very many edges is one key of a sort-merge join
-against one row, which adaptive execution splits.
+against one row, which adaptive execution splits: for that the minima are
+shuffled once more, as it splits only joins of two shuffles.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ def _hang(edges: DataFrame, below: bool) -> DataFrame:
         seen = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     else:
         seen = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = seen.groupBy("u").agg(F.min("v").alias("m"))
+    least = seen.groupBy("u").agg(F.min("v").alias("m")).repartition(F.xxhash64("u"))
     if below:
         moved = seen.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         return moved.union(least.select("u", F.col("m").alias("v")))

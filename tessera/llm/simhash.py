@@ -152,10 +152,10 @@ def classes(fps: DataFrame, max_bits: int) -> DataFrame:
     reps = staged(fps.groupBy("fp").agg(F.min("id").alias("least_id")), "fps")
     roots = components(links(reps.select("fp"), max_bits), "a", "b")
     linked = staged(reps.join(roots, reps.fp == roots.node).select("fp", "root", "least_id"), "linked")
-    least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    least = small(staged(linked.groupBy("root").agg(F.min("least_id").alias("component_id")), "least"))
     joined = linked.join(least, "root").select(F.col("fp").alias("linked_fp"), "component_id")
-    return reps.join(joined, reps.fp == joined.linked_fp, "left").select(
-        "fp", F.coalesce("component_id", "least_id").alias("component_id"))
+    return staged(reps.join(joined, reps.fp == joined.linked_fp, "left").select(
+        "fp", F.coalesce("component_id", "least_id").alias("component_id")), "classes")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
@@ -186,7 +186,8 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     member = staged(rows.join(found, rows.fp == found.class_fp).select("id", "doc", "component_id"), "members")
     best = member.groupBy("component_id").agg(
         F.min(F.struct(F.col("doc").isNull().alias("no"), "doc", "id")).alias("best"), F.count("*").alias("n"))
-    out = member.join(best.filter("n > 1"), "component_id").filter("id <> best.id").select(
+    best = small(staged(best.filter("n > 1"), "best"))
+    out = member.join(best, "component_id").filter("id <> best.id").select(
         F.col("id").alias("gone"))
     out = small(staged(out, "dropped"))
     return docs.join(out, col(rid) == F.col("gone"), "left_anti").select(*[col(c) for c in df.columns])
