@@ -1,24 +1,21 @@
 """Stacking, seed averaging and blending.
 
-The out-of-fold table is built long — ``(key, base, pred)`` from a union
-of fold transforms — then turned wide with one ``groupBy(key).pivot``,
-i.e. one shuffle instead of one join per base model. It is staged to
-Parquet under the checkpoint folder so later fits never recompute the
-fold loop.
+The out-of-fold table is a union over the folds: each held-out row is scored
+by all members where it stands, so nothing is shuffled. It is staged to Parquet
+under the checkpoint folder, so later fits never recompute the fold loop.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.evaluate import assign_folds
 from tessera.operators.models import Fitted, Regressor
-from tessera.runtime import stage
+from tessera.runtime import fit_in_slot, side_by_side, stage
 
 
 def normalised_weights(weights: Mapping[str, float]) -> dict[str, float]:
@@ -64,8 +61,12 @@ class FittedStack:
             if self.full_models is not None:
                 cur = self.full_models[b.name].predict(cur, b.name)
                 continue
+            models = self.fold_models[b.name]
+            if hasattr(models[0], "mean"):
+                cur = models[0].mean(models).predict(cur, b.name)
+                continue
             cols = []
-            for i, m in enumerate(self.fold_models[b.name]):
+            for i, m in enumerate(models):
                 col = f"__{b.name}_{i}"
                 cur = m.predict(cur, col)
                 cols.append(col)
@@ -89,7 +90,6 @@ class Stacking:
     k: int = 5
     seed: int = 42
     keep_features: bool = False
-    parallelism: int = 8
     fold_weights: Sequence[int] | None = None
     name: str = "stack"
 
@@ -105,10 +105,17 @@ class Stacking:
 
         def one(job):
             b, f = job
-            return b.name, f, b.fit(folded.filter(F.col("fold") != f), features, label)
+            if getattr(b, "stop_on_held_out", False):
+                flagged = folded.withColumn("__held", F.col("fold") == f)
+                return b.name, f, fit_in_slot(replace(b, early_stop_col="__held"), flagged, features, label)
+            return b.name, f, fit_in_slot(b, folded.filter(F.col("fold") != f), features, label)
+
+        try:
+            return self._stack(side_by_side(one, jobs), folded, carry, features, label)
+        finally:
+            folded.unpersist()
 
-        with ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as pool:
-            results = list(pool.map(one, jobs))
+    def _stack(self, results, folded: DataFrame, carry: list[str], features: list[str], label: str) -> FittedStack:
         fold_models: dict[str, list] = {b.name: [None] * self.k for b in self.bases}
         for name, f, fitted in results:
             fold_models[name][f] = fitted
@@ -125,13 +132,11 @@ class Stacking:
         oof = stage(oof, f"{self.name}-oof-seed{self.seed}")
         meta_in = oof
         meta_feats = names + (features if self.keep_features else [])
-        meta = self.meta.fit(meta_in, meta_feats, label)
+        meta = fit_in_slot(self.meta, meta_in, meta_feats, label)
         full = None
         if self.keep_features:
-            with ThreadPoolExecutor(max_workers=max(1, self.parallelism)) as pool:
-                fits = list(pool.map(lambda b: b.fit(folded, features, label), self.bases))
+            fits = side_by_side(lambda b: fit_in_slot(b, folded, features, label), self.bases)
             full = {b.name: m for b, m in zip(self.bases, fits)}
-        folded.unpersist()
         return FittedStack(self.bases, fold_models, full, meta, features,
                            self.keep_features, oof)
 
@@ -146,9 +151,7 @@ class SeedAverage:
 
     def fit(self, df: DataFrame, features: list[str], label: str) -> "SeedAverage":
         # whole stacks per seed are independent jobs: run them side by side
-        with ThreadPoolExecutor(max_workers=len(self.seeds)) as pool:
-            self.fitted = list(pool.map(
-                lambda s: self.make_stack(s).fit(df, features, label), self.seeds))
+        self.fitted = side_by_side(lambda s: self.make_stack(s).fit(df, features, label), self.seeds)
         return self
 
     def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:

@@ -8,15 +8,14 @@ stable under repartitioning and recomputation after a lost executor
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-import pandas as pd
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.models import Linear, Regressor, label_stats
-from tessera.runtime import bounded_broadcast, one_wave, stage
+from tessera.operators.models import Linear, gramian, label_stats
+from tessera.runtime import bounded_broadcast, fit_in_slot, side_by_side
 
 
 def fold_column(key: Sequence[str], k: int, seed: int,
@@ -60,30 +59,6 @@ def summarize_scores(scores: DataFrame, by: str = "model") -> DataFrame:
                                   F.count(F.lit(1)).alias("folds"))
 
 
-def out_of_fold(model: Regressor, df: DataFrame, features: list[str], label: str,
-                key: Sequence[str], fold: str = "fold", k: int | None = None,
-                out: str = "oof", parallelism: int = 2, keep: Sequence[str] = ()) -> tuple[DataFrame, list]:
-    """Held-out predictions for every row: fit on the other folds, predict this one.
-
-    Returns ``(frame of key, fold, keep…, out)`` staged to Parquet, and the
-    fitted fold models. Fits are independent jobs and run from a small pool.
-    """
-    if k is None:
-        k = df.agg(F.max(fold)).first()[0] + 1
-
-    def one(f: int):
-        fitted = model.fit(df.filter(F.col(fold) != f), features, label)
-        held = fitted.predict(df.filter(F.col(fold) == f), out)
-        return fitted, held.select(*key, fold, *keep, out)
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(one, range(k)))
-    union = results[0][1]
-    for _, part in results[1:]:
-        union = union.unionByName(part)
-    return stage(union, f"oof-{getattr(model, 'name', 'model')}"), [r[0] for r in results]
-
-
 def oof_group_mean(df: DataFrame, label: str, by: str | None, fold: str = "fold",
                    out: str = "oof") -> DataFrame:
     """Held-out group-mean predictions in closed form, one aggregation.
@@ -119,38 +94,16 @@ def oof_group_mean(df: DataFrame, label: str, by: str | None, fold: str = "fold"
 
 def fold_gramians(df: DataFrame, features: list[str], label: str, fold: str,
                   k: int) -> np.ndarray:
-    """Per-fold Gramians of ``[1, x…, y]`` from ONE pass: numpy per Arrow
-    batch inside the tasks, Spark sums the (fold, cell) partials. Result
-    shape (k, p+2, p+2); it grows with features² × folds, never with rows."""
+    """Per-fold Gramians of ``[1, x…, y]``, shape (k, p+2, p+2), each summed by
+    Spark over that fold's rows; their size is features² × folds."""
+    rows = VectorAssembler(inputCols=["__one", *features, "__y"], outputCol="__row", handleInvalid="keep").transform(
+        df.select(*features, F.lit(1.0).alias("__one"), F.col(label).cast("double").alias("__y"),
+                  F.col(fold).alias("__f"))).select("__f", "__row")
     size = len(features) + 2
-
-    def partial(batches):
-        acc = np.zeros((k, size, size))
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            a = np.column_stack([np.ones(len(pdf)), np.vstack(pdf["x"].to_numpy()),
-                                 pdf["y"].to_numpy()]).astype(float)
-            f = pdf["f"].to_numpy()
-            for g in np.unique(f):
-                sub = a[f == g]
-                acc[int(g)] += sub.T @ sub
-        iu = np.triu_indices(size)
-        rows = [(g, int(i * size + j), float(acc[g, i, j]))
-                for g in range(k) for i, j in zip(*iu) if acc[g, i, j] != 0.0]
-        yield pd.DataFrame(rows, columns=["f", "i", "v"]).astype(
-            {"f": "int32", "i": "int64", "v": "float64"})
-
-    src = one_wave(df.select(F.array(*[F.col(c).cast("double") for c in features]).alias("x"),
-                             F.col(label).cast("double").alias("y"),
-                             F.col(fold).cast("int").alias("f")))
-    sums = (src.mapInPandas(partial, "f int, i long, v double")
-            .groupBy("f", "i").agg(F.sum("v").alias("v")).collect())
-    g = np.zeros((k, size, size))
-    for r in sums:
-        i, j = divmod(r["i"], size)
-        g[r["f"], i, j] = g[r["f"], j, i] = r["v"]
-    return g
+    there = {r[0] for r in rows.select("__f").distinct().collect()}
+    grams = side_by_side(lambda f: gramian(rows.filter(F.col("__f") == f), "__row") if f in there
+                         else np.zeros((size, size)), range(k))
+    return np.stack(grams)
 
 
 def _centred(gram: np.ndarray):
@@ -161,37 +114,10 @@ def _centred(gram: np.ndarray):
     return n, sx, sy, sxx, sxy
 
 
-def solve_on_gramian(gram: np.ndarray, kind: str, alpha: float, l1_ratio: float = 1.0,
-                     tol: float = 1e-11, max_sweeps: int = 20_000,
-                     w0: np.ndarray | None = None) -> tuple[np.ndarray, float]:
-    """(w, b) for the reference objectives from a ``[1, x, y]`` Gramian:
-    ridge ``||y−Xw−b||² + α||w||²`` in closed form; lasso / elastic net
-    ``1/(2n)||y−Xw−b||² + αρ||w||₁ + α(1−ρ)/2||w||²`` by coordinate descent
-    on the centred p×p Gramian (the solve runs on features², not rows)."""
+def ridge_on_gramian(gram: np.ndarray, alpha: float) -> tuple[np.ndarray, float]:
+    """(w, b) minimising ``||y−Xw−b||² + α||w||²`` from a ``[1, x, y]`` Gramian."""
     n, sx, sy, sxx, sxy = _centred(gram)
-    p = len(sxy)
-    if kind == "ridge":
-        w = np.linalg.solve(sxx + alpha * np.eye(p), sxy)
-    else:
-        rho = 1.0 if kind == "lasso" else l1_ratio
-        l1, l2 = n * alpha * rho, n * alpha * (1 - rho)
-        w = np.zeros(p) if w0 is None else w0.astype(float).copy()
-        diag = np.diag(sxx).copy()
-        grad = sxy - sxx @ w                   # kept up to date below
-        for _ in range(max_sweeps):
-            delta = 0.0
-            for j in range(p):
-                if diag[j] <= 0:
-                    continue
-                r = grad[j] + diag[j] * w[j]
-                new = np.sign(r) * max(abs(r) - l1, 0.0) / (diag[j] + l2)
-                step = new - w[j]
-                if step != 0.0:
-                    grad -= sxx[:, j] * step
-                    w[j] = new
-                    delta = max(delta, abs(step))
-            if delta < tol:
-                break
+    w = np.linalg.solve(sxx + alpha * np.eye(len(sxy)), sxy)
     return w, (sy - sx @ w) / n
 
 
@@ -204,40 +130,70 @@ def heldout_sse(gram: np.ndarray, w: np.ndarray, b: float) -> tuple[float, float
     return max(float(sse), 0.0), float(n)
 
 
-def linear_grid_cv(df: DataFrame, features: list[str], label: str, kind: str,
-                   alphas: Sequence[float], fold: str = "fold", k: int | None = None,
-                   parallelism: int = 8) -> tuple[float, DataFrame]:
-    """k-fold choice of α for a linear model (M4, M5) in one data pass.
-
-    The per-fold Gramians come from :func:`fold_gramians`; each training
-    part's Gramian is the total minus its fold, each model is solved on it
-    and scored on the held-out fold's Gramian. Returns the best α (lowest
-    mean fold RMSE, ties to the smaller α) and the ``(alpha, fold, rmsle)``
-    table."""
-    spark = df.sparkSession
-    if k is None:
-        k = df.agg(F.max(fold)).first()[0] + 1
+def _ridge_scores(df: DataFrame, features: list[str], label: str, alphas: Sequence[float],
+                  fold: str, k: int) -> list[tuple[float, int, float]]:
+    """Ridge: a training part's Gramian is the total minus its fold, and the
+    held-out error follows from the fold's Gramian."""
     grams = fold_gramians(df, features, label, fold, k)
     total = grams.sum(axis=0)
     rows = []
     for f in range(k):
-        w_prev = None
-        # descending α: each solve starts from the previous one (a path)
-        for a in sorted(alphas, reverse=True):
-            w, b = solve_on_gramian(total - grams[f], kind, float(a), w0=w_prev)
-            w_prev = w
+        for a in alphas:
+            w, b = ridge_on_gramian(total - grams[f], float(a))
             sse, n = heldout_sse(grams[f], w, b)
-            rows.append((float(a), int(f), float(np.sqrt(sse / n)) if n else float("nan")))
-    table = spark.createDataFrame(rows, "alpha double, fold int, rmsle double")
+            rows.append((float(a), f, float(np.sqrt(sse / n)) if n else float("nan")))
+    return rows
+
+
+def _fitted_scores(df: DataFrame, features: list[str], label: str, kind: str, alphas: Sequence[float],
+                   fold: str, k: int) -> list[tuple[float, int, float]]:
+    """Lasso: one Spark fit per (fold, α); all α of a fold are scored in one
+    pass over its rows."""
+    cols = df.select(F.col(fold).alias("__f"), label, *features)
+
+    def fit(job):
+        f, a = job
+        return fit_in_slot(Linear(kind, float(a), 1.0, False), cols.filter(F.col("__f") != f), features, label)
+
+    jobs = [(f, a) for f in range(k) for a in alphas]
+    fits = dict(zip(jobs, side_by_side(fit, jobs)))
+
+    def score(f):
+        held = cols.filter(F.col("__f") == f)
+        for i, a in enumerate(alphas):
+            held = fits[f, a].predict(held, f"__p{i}")
+        r = held.agg(*[F.sqrt(F.avg(F.pow(F.col(f"__p{i}") - F.col(label), 2))) for i in range(len(alphas))]).first()
+        return [(float(a), f, float("nan") if r[i] is None else float(r[i])) for i, a in enumerate(alphas)]
+
+    return [row for part in side_by_side(score, range(k)) for row in part]
+
+
+def linear_grid_cv(df: DataFrame, features: list[str], label: str, kind: str,
+                   alphas: Sequence[float], fold: str = "fold", k: int | None = None) -> tuple[float, DataFrame]:
+    """k-fold choice of α for a linear model (M4, M5).
+
+    Ridge is solved on per-fold Gramians, so the α cost no further passes;
+    lasso is Spark's ``LinearRegression`` per fold and α. Returns the best α
+    (lowest mean fold RMSE, ties to the smaller α) and the ``(alpha, fold,
+    rmsle)`` table."""
+    if k is None:
+        k = df.agg(F.max(fold)).first()[0] + 1
+    kept = df.select(label, fold, *features).persist()
+    try:
+        rows = (_ridge_scores(kept, features, label, alphas, fold, k) if kind == "ridge"
+                else _fitted_scores(kept, features, label, kind, alphas, fold, k))
+    finally:
+        kept.unpersist()
+    table = df.sparkSession.createDataFrame(rows, "alpha double, fold int, rmsle double")
     means: dict[float, list[float]] = {}
     for a, _, r in rows:
         means.setdefault(a, []).append(r)
-    best = min(means, key=lambda a: (sum(means[a]) / len(means[a]), a))
+    best = min(means, key=lambda a: (np.nanmean(means[a]), a))
     return best, table
 
 
 __all__ = ["assign_folds", "fold_column", "rmsle", "rmsle_by_fold", "summarize_scores",
-           "out_of_fold", "oof_group_mean", "linear_grid_cv", "label_stats"]
+           "oof_group_mean", "linear_grid_cv", "label_stats"]
 
 
 class LinearCV:
@@ -245,6 +201,8 @@ class LinearCV:
     ``fit`` (the grid-searched ridge / lasso members of a stack, M4, M5).
     Folds hash the row's own values, so no key column is needed."""
 
+    composite = True
+
     def __init__(self, kind: str, alphas: Sequence[float], k: int = 5, seed: int = 42,
                  name: str | None = None):
         self.kind, self.alphas, self.k, self.seed = kind, list(alphas), k, seed
@@ -261,5 +219,5 @@ class LinearCV:
                                         F.lit(self.seed)), F.lit(self.k)).cast("int"))
         self.best, _ = linear_grid_cv(scaled, features, label, self.kind, self.alphas,
                                       fold="__fold", k=self.k)
-        fitted = Linear(self.kind, self.best, 1.0, False, self.name).fit(scaled, features, label)
+        fitted = fit_in_slot(Linear(self.kind, self.best, 1.0, False, self.name), scaled, features, label)
         return _FittedSpark(fitted.model, features, sc)

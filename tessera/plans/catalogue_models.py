@@ -20,7 +20,7 @@ from tessera.operators.models import (GroupMean, PolyRidge, Trees, base_models,
 from tessera.operators.stats import RobustScaler
 from tessera.plans.catalogue import FOLD_KEY, FOLD_WEIGHTS, KEY, fold_sql, query, r6
 from tessera.plans.features import SalesFeatures, outlier_rule
-from tessera.runtime import stage
+from tessera.runtime import fit_in_slot, side_by_side, stage
 from tessera.sources.fixture import KEY_SQL, SALES_CTE, sales
 
 
@@ -208,18 +208,12 @@ def prediction_summary(spark, d):
 
 # --- models on the full feature chain (rows-only checks) ----------------------------
 
-_FEATURE_CACHE: dict[tuple[str, str], tuple[DataFrame, SalesFeatures]] = {}
-
-
 def feature_chain(spark: SparkSession, d: str) -> tuple[DataFrame, SalesFeatures]:
-    """Prepared sales features, built once per session and data folder and
-    staged to Parquet (the model queries share it), with the fitted chain."""
-    k = (spark.sparkContext.applicationId, d)
-    if k not in _FEATURE_CACHE:
-        fe = SalesFeatures(fit_on="all")      # parity: statistics over both halves
-        df = stage(fe.build(spark, d), "sales-features")
-        _FEATURE_CACHE[k] = (df, fe)
-    return _FEATURE_CACHE[k]
+    """Prepared sales features, staged to Parquet, with the fitted chain. Built
+    anew from the tables on every call; a caller that wants to share them
+    keeps the result."""
+    fe = SalesFeatures(fit_on="all")      # parity: statistics over both halves
+    return stage(fe.build(spark, d), "sales-features"), fe
 
 
 def feature_table(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
@@ -303,11 +297,8 @@ GBT_SMALL = {
 @query("fit_gbt")
 def fit_gbt(spark, d):
     """Three GBTRegressor configurations standing in for the boosted libraries."""
-    from concurrent.futures import ThreadPoolExecutor
     train, test, feats = _split(spark, d)
-    with ThreadPoolExecutor(max_workers=len(GBT_SMALL)) as pool:     # independent fits
-        fits = list(pool.map(lambda kv: Trees("gbt", kv[1], name=kv[0]).fit(train, feats, "y"),
-                             GBT_SMALL.items()))
+    fits = side_by_side(lambda kv: fit_in_slot(Trees("gbt", kv[1], name=kv[0]), train, feats, "y"), GBT_SMALL.items())
     cur = test.select(*KEY, *feats)
     for name, fitted in zip(GBT_SMALL, fits):
         cur = fitted.predict(cur, f"pred_{name}")
@@ -347,7 +338,7 @@ def gbt_early_stop(spark, d):
 
 # --- stacking -------------------------------------------------------------------
 
-def small_stack(seed: int = 42, keep_features: bool = False, k: int = 3) -> Stacking:
+def small_stack(seed: int = 42, keep_features: bool = False, k: int = 5) -> Stacking:
     return Stacking(base_models("small", seed), meta_model("small", seed), KEY, k=k, seed=seed,
                     keep_features=keep_features)
 
@@ -383,23 +374,20 @@ def stack_cv(spark, d):
     """Outer k-fold score of the whole stack (V5, V6): per outer fold the
     stack is fitted on the other folds and scored on this one."""
     train, _, feats = _split(spark, d)
-    from concurrent.futures import ThreadPoolExecutor
-    outer = assign_folds(train, FOLD_KEY, 3, 7, FOLD_WEIGHTS).withColumnRenamed(
-        "fold", "outer").persist()
+    outer = assign_folds(train, FOLD_KEY, 5, 7, FOLD_WEIGHTS).withColumnRenamed("fold", "outer")
 
     from tessera.plans.pipeline import clip_bounds
 
     def one(f: int) -> DataFrame:
         fit_rows = outer.filter(F.col("outer") != f)
-        fitted = small_stack(k=3).fit(fit_rows, feats, "y")
+        fitted = small_stack().fit(fit_rows, feats, "y")
         held = fitted.predict(outer.filter(F.col("outer") == f).select(*KEY, "y", *feats),
                               "prediction")
         lo, hi = clip_bounds(fit_rows, "label_range")     # clip to the labelled range
         held = held.withColumn("prediction", X.clip_log_prediction("prediction", lo, hi))
         return stage(held.select(*KEY, F.lit(f).alias("fold"), "y", "prediction"), "stack-cv")
 
-    with ThreadPoolExecutor(max_workers=3) as pool:      # independent outer folds
-        parts = list(pool.map(one, range(3)))
+    parts = side_by_side(one, range(5))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -434,7 +422,7 @@ def compare_models() -> dict:
         "lasso": lasso(0.0005),
         "elastic_net": elastic_net(0.0005, 0.9),
         "ridge": ridge(10.0),
-        "poly_ridge": PolyRidge(0.6, 2.5),
+        "gbt_lgbm": Trees("gbt", GBT_SMALL["lgbm"]),
         "gbt_robust": Trees("gbt", dict(maxIter=20, stepSize=0.3, maxDepth=4,
                                         lossType="absolute", featureSubsetStrategy="sqrt",
                                         minInstancesPerNode=15, seed=42)),
@@ -444,10 +432,9 @@ def compare_models() -> dict:
     }
 
 
-def cv_scores(spark, d, k: int = 3) -> DataFrame:
+def cv_scores(spark, d, k: int = 5) -> DataFrame:
     """``(model, fold, rmsle)``: every learner fitted on k−1 folds, scored on the
     held-out one; fits run from a small pool, scores are one aggregation each."""
-    from concurrent.futures import ThreadPoolExecutor
     train, _, feats = _split(spark, d)
     folded = assign_folds(train.select(*KEY, "y", *feats), FOLD_KEY, k, 42,
                           FOLD_WEIGHTS).persist()
@@ -455,13 +442,14 @@ def cv_scores(spark, d, k: int = 3) -> DataFrame:
 
     def one(job):
         name, f = job
-        fitted = models[name].fit(folded.filter(F.col("fold") != f), feats, "y")
+        fitted = fit_in_slot(models[name], folded.filter(F.col("fold") != f), feats, "y")
         held = fitted.predict(folded.filter(F.col("fold") == f), "p")
         return name, f, float(rmsle(held, "y", "p").first()["rmsle"])
 
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        rows = list(pool.map(one, [(m, f) for m in models for f in range(k)]))
-    folded.unpersist()
+    try:
+        rows = side_by_side(one, [(m, f) for m in models for f in range(k)])
+    finally:
+        folded.unpersist()
     return spark.createDataFrame(rows, "model string, fold int, rmsle double")
 
 

@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,9 +107,22 @@ def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
     return F.broadcast(small) if n <= max_rows else small
 
 
-def one_wave(df: DataFrame) -> DataFrame:
-    """At most one task per core (narrow ``coalesce``, no shuffle) for
-    operators whose every task emits a features²-sized partial (Gramians):
-    the partial volume then scales with the cluster, not with the input's
-    split count."""
-    return df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
+# Model fits that run at once, however fold, seed and member loops are nested.
+FIT_SLOTS = threading.BoundedSemaphore(int(os.environ.get("TESSERA_FIT_SLOTS", "8")))
+
+
+def side_by_side(fn, jobs) -> list:
+    """``fn`` over ``jobs`` from driver threads, results in order. Threads only
+    wait; what they fit takes one of the session's ``FIT_SLOTS``."""
+    jobs = list(jobs)
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        return list(pool.map(fn, jobs))
+
+
+def fit_in_slot(model, df: DataFrame, features: list[str], label: str):
+    """Fit when a slot is free. A ``composite`` model takes none itself, as the
+    fits inside it do."""
+    if getattr(model, "composite", False):
+        return model.fit(df, features, label)
+    with FIT_SLOTS:
+        return model.fit(df, features, label)

@@ -50,18 +50,37 @@ def _write(path: str, rows: range, labelled: bool):
             w.writerow(vals)
 
 
+def _lines(folder: str) -> list[str]:
+    files = [f for f in os.listdir(folder) if f.endswith(".csv")]
+    return [ln for f in files for ln in open(f"{folder}/{f}").read().splitlines()]
+
+
+def test_house_run_modes(spark):
+    d = tempfile.mkdtemp(prefix="tessera-house-")
+    _write(f"{d}/train.csv", range(0, 160), True)
+    _write(f"{d}/test.csv", range(160, 200), False)
+    few = dict(seeds=(42,), folds=2, outer_folds=2, trees=2, top_k=8, clip=(9.0, 14.0), preset="documented")
+    scores = run_house(spark, f"{d}/train.csv", f"{d}/test.csv", f"{d}/cv", Options(mode="cv", **few)).collect()
+    assert sorted(r.fold for r in scores) == [-1, 0, 1] and sum(r.n for r in scores if r.fold >= 0) == 160
+    oof = [ln for ln in _lines(f"{d}/cv/oof") if not ln.startswith("Id,")]
+    assert sorted(int(ln.split(",")[0]) for ln in oof) == list(range(1, 161))
+    names = run_house(spark, f"{d}/train.csv", f"{d}/test.csv", f"{d}/list", Options(mode="list"))
+    assert names.columns == ["feature", "source"] and _lines(f"{d}/list/features")[0] == "feature,source"
+    assert names.count() == len(_lines(f"{d}/list/features")) - 1
+
+
 def test_house_workflow_end_to_end(spark):
     d = tempfile.mkdtemp(prefix="tessera-house-")
     train, test, out = f"{d}/train.csv", f"{d}/test.csv", f"{d}/pred"
     _write(train, range(0, 240), True)
     _write(test, range(240, 320), False)
-    opts = Options(seeds=(42,), folds=2, side_trees=3, top_k=20, clip=(9.0, 14.0))
+    opts = Options(seeds=(42,), folds=2, trees=2, top_k=20, clip=(9.0, 14.0))
     pred = run_house(spark, train, test, out, opts)
     rows = pred.collect()
     assert sorted(r.Id for r in rows) == list(range(241, 321))
     assert all(9.0 <= r.log_prediction <= 14.0 and r.sale_price > 0 for r in rows)
-    files = [f for f in os.listdir(out) if f.endswith(".csv")]
-    lines = [ln for f in files for ln in open(f"{out}/{f}").read().splitlines()]
+    lines, stack = _lines(f"{out}/predictions"), _lines(f"{out}/stack_predictions")
+    assert len(stack) >= 81 and sorted(stack) != sorted(lines)
     assert lines[0] == "Id,SalePrice" and len([ln for ln in lines if ln != "Id,SalePrice"]) == 80
     assert all(len(ln.split(",")[1].split(".")[1]) == 6 for ln in lines if ln != "Id,SalePrice")
 

@@ -99,7 +99,7 @@ def test_stack_oof_one_row_per_key_and_seed_average(sales_features):
     tr, te = df.filter(F.col("split") == "train"), df.filter(F.col("split") == "test")
 
     def make(seed):
-        return Stacking(base_models("small", seed)[:2], meta_model("small", seed), key, k=2,
+        return Stacking(base_models("small", seed, 3)[1:5], meta_model("small", seed, 3), key, k=2,
                         seed=seed)
 
     fitted = make(42).fit(tr, feats, "y")
@@ -127,17 +127,44 @@ def test_topk_selector_quantile_bins(spark):
     assert TopKSelector(["a", "noise"], "y", k=200).fit(df).kept == ["a", "noise"]
 
 
-@pytest.mark.parametrize("kind,alpha", [("ridge", 10.0), ("lasso", 0.05), ("elastic_net", 0.05)])
-def test_gramian_solver_matches_spark_fit(toy, kind, alpha):
-    from tessera.operators.evaluate import fold_gramians, solve_on_gramian
+def test_ridge_on_gramian_matches_spark_fit(toy):
+    from tessera.operators.evaluate import fold_gramians, ridge_on_gramian
     df, x, y = toy
     g = fold_gramians(df.withColumn("f", F.lit(0)), FEATS, "y", "f", 1)[0]
-    w, b = solve_on_gramian(g, kind, alpha, 0.5 if kind == "elastic_net" else 1.0)
-    rho = 0.5 if kind == "elastic_net" else 0.0 if kind == "ridge" else 1.0
-    w_s, b_s = _coef(Linear(kind, alpha, rho, False).fit(df, FEATS, "y"))
+    w, b = ridge_on_gramian(g, 10.0)
+    w_s, b_s = _coef(Linear("ridge", 10.0, 0.0, False).fit(df, FEATS, "y"))
     assert np.allclose(w, w_s, atol=1e-5) and b == pytest.approx(b_s, abs=1e-5)
 
 
+@pytest.mark.parametrize("kind", ["ridge", "lasso"])
+def test_grid_scores_are_those_of_single_fits(toy, kind):
+    df, _, _ = toy
+    folded = assign_folds(df, ["k"], 3, 1)
+    best, table = linear_grid_cv(folded, FEATS, "y", kind, [0.05, 5.0], k=3)
+    for r in table.collect():
+        fit = Linear(kind, r.alpha, 1.0, False).fit(folded.filter(F.col("fold") != r.fold), FEATS, "y")
+        held = fit.predict(folded.filter(F.col("fold") == r.fold), "p")
+        assert rmsle(held, "y", "p").first()[0] == pytest.approx(r.rmsle, rel=1e-5)
+    assert best == 0.05 and table.count() == 6
+
+
+def test_mean_of_poly_models_predicts_mean(toy):
+    df, _, _ = toy
+    fits = [PolyRidge().fit(df.filter(F.col("k") % 2 == i), FEATS, "y") for i in (0, 1)]
+    each = [[r.p for r in m.predict(df, "p").orderBy("k").collect()] for m in (*fits, fits[0].mean(fits))]
+    assert np.allclose((np.array(each[0]) + np.array(each[1])) / 2, each[2])
+
+
+def test_best_ensemble_has_six_members_and_stops_early(sales_features):
+    assert [m.name for m in base_models()] == ["lasso", "elastic_net", "poly_ridge", "gbt_robust", "gbt_xgb", "gbt_cat"]
+    assert [m.name for m in base_models() if getattr(m, "stop_on_held_out", False)] == ["gbt_xgb", "gbt_cat"]
+    df, feats = sales_features
+    tr = df.filter(F.col("split") == "train")
+    booster = Trees("gbt", dict(maxIter=40, stepSize=0.9, maxDepth=5, validationTol=0.3, seed=1), name="b", stop_on_held_out=True)
+    fitted = Stacking([booster], GroupMean(), ["l_orderkey", "l_linenumber"], k=2).fit(tr, feats, "y")
+    assert all(len(m.model.trees) < 40 for m in fitted.fold_models["b"])
+
+
 def test_heldout_sse_from_gramian(toy):
     from tessera.operators.evaluate import fold_gramians, heldout_sse
     df, x, y = toy
@@ -154,18 +181,9 @@ def test_heldout_sse_from_gramian(toy):
 def test_ensemble_presets_run(spark, sales_features, preset):
     from tessera.plans.pipeline import PRESET_WEIGHTS, Options, predict_prices
     df, feats = sales_features
-    opts = Options(preset=preset, seeds=(42,), folds=2, side_trees=3, cv_folds=2, clip=None)
+    opts = Options(preset=preset, seeds=(42,), folds=2, trees=2, cv_folds=2, lasso_folds=2, top_k=10, clip=None)
     out = predict_prices(df, feats, opts)
     n_test = df.filter(F.col("split") == "test").count()
     rows = out.collect()
     assert len(rows) == n_test and all(r.log_prediction is not None for r in rows)
     assert abs(sum(PRESET_WEIGHTS[preset].values()) - 1.0) < 1e-9
-
-
-def test_warm_start_reaches_same_lasso(toy):
-    from tessera.operators.evaluate import fold_gramians, solve_on_gramian
-    df, _, _ = toy
-    g = fold_gramians(df.withColumn("f", F.lit(0)), FEATS, "y", "f", 1)[0]
-    cold, b0 = solve_on_gramian(g, "lasso", 0.01)
-    warm, b1 = solve_on_gramian(g, "lasso", 0.01, w0=solve_on_gramian(g, "lasso", 0.2)[0])
-    assert np.allclose(cold, warm, atol=1e-8) and b0 == pytest.approx(b1, abs=1e-8)
