@@ -22,6 +22,7 @@ from tessera.operators.impute import (GroupMeanFeature, GroupMedianImputer, Mode
 from tessera.operators.select import CorrelationFilter, VarianceFilter
 from tessera.operators.stats import BoxCoxSkewed
 from tessera.sources.tables import labelled_unlabelled, read_csv_table
+from tessera.runtime import stage
 
 # Header and types of the public house-sale files (80 columns
 # plus SalePrice in the labelled file); "d" = double (may hold NA),
@@ -131,7 +132,8 @@ class HouseFeatures:
                               **{c: 0.0 for c in FILL_ZERO}, **FILL_DEFAULT})
         s = ModeImputer(FILL_MODE).fit(s).transform(s)
         s = GroupMedianImputer(["LotFrontage"], "Neighborhood").fit(s).transform(s)
-        s = s.drop(*DROPPED)
+        # the fits below read the cleaned rows, not the files and the fits above
+        s = stage(s.drop(*DROPPED), "house-clean")
         s = GroupMeanFeature("OverallQual", "Neighborhood",
                              "Neighborhood_OverallQual").fit(s).transform(s)
         total_sf = X.total("TotalBsmtSF", "1stFlrSF", "2ndFlrSF")
@@ -141,14 +143,14 @@ class HouseFeatures:
                      X.weighted_total({"FullBath": 1.0, "HalfBath": 0.5, "BsmtFullBath": 1.0,
                                        "BsmtHalfBath": 0.5}).alias("TotalBath"),
                      (F.col("OverallQual") * total_sf).alias("OverallQual_TotalSF"))
-        s = LabelEncoder(LABEL_CODED).fit(s).transform(s)
+        s = stage(LabelEncoder(LABEL_CODED).fit(s).transform(s), "house-coded")
         numeric = [f.name for f in s.schema.fields
                    if isinstance(f.dataType, NumericType) and f.name not in ("Id", "y")]
         nominal = [f.name for f in s.schema.fields
                    if isinstance(f.dataType, StringType) and f.name != "split"]
-        s = BoxCoxSkewed(numeric).fit(s).transform(s)
+        s = stage(BoxCoxSkewed(numeric).fit(s).transform(s), "house-scaled")
         hot = OneHot(nominal).fit(s)
-        s = hot.transform(s)
+        s = stage(hot.transform(s), "house-dummies")
         var = VarianceFilter(numeric + hot.dummy_names(), X.VARIANCE_CUT, True).fit(s)
         self.features = var.kept
         return s.select("Id", "split", "y",
@@ -159,7 +161,7 @@ class HouseFeatures:
         s = fill_constant(s, {**{c: "None" for c in FILL_NONE}, **{c: 0.0 for c in FILL_ZERO}})
         s = ModeImputer(FILL_MODE + ["Functional"]).fit(s).transform(s)
         s = GroupMedianImputer(["LotFrontage"], "Neighborhood").fit(s).transform(s)
-        s = s.drop(*DROPPED)
+        s = stage(s.drop(*DROPPED), "house-clean")
         s = s.select(*s.columns, *documented_hand_features())
         s = graded(s, X.GRADED_MAPS)
         s = s.withColumn("MSSubClass", X.code_as_text("MSSubClass"))
@@ -167,9 +169,9 @@ class HouseFeatures:
                    if isinstance(f.dataType, NumericType) and f.name not in ("Id", "y")]
         nominal = [f.name for f in s.schema.fields
                    if isinstance(f.dataType, StringType) and f.name != "split"]
-        s = BoxCoxSkewed(numeric).fit(s).transform(s)
+        s = stage(BoxCoxSkewed(numeric).fit(s).transform(s), "house-scaled")
         hot = OneHot(nominal).fit(s)
-        s = hot.transform(s)
+        s = stage(hot.transform(s), "house-dummies")
         candidates = numeric + hot.dummy_names()
         labelled = s.filter(F.col("split") == "train")
         var = VarianceFilter(candidates, 0.0, population=False).fit(labelled)
@@ -184,7 +186,6 @@ def run_house(spark: SparkSession, train_path: str, test_path: str,
     """Whole workflow: read → features → what ``opts.mode`` asks for (E8); its
     tables are written under ``out_path`` if that is given."""
     from tessera.plans.pipeline import _RESULT, Options, run_modes
-    from tessera.runtime import stage
     opts = opts or Options(clip=X.CLIP_RANGE)
     train, test = read_house(spark, train_path, test_path)
     fe = HouseFeatures(variant)
