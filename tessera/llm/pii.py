@@ -8,14 +8,16 @@ by term t is
     PMI(e; t) / IC(e) = log(N n_et / (n_e n_t)) / log(N / n_e)
 
 over documents: 1 if t occurs only beside e (knowing t is knowing e), 0 if t
-says nothing about it. A term seen with the entity in at least ``support``
-different contexts (copies of one passage are one context) is generalised to
-its shape from ``generalise_at`` on and removed from ``remove_at`` on, wherever
-it occurs.
-
-Scale. Contexts are folded before they are counted; only terms with enough
-contexts are scored, and only those that disclose something, a small part of the
-vocabulary, are looked for in the texts. What a text contains is keyed by the
+says nothing about it. Every pair is scored. One seen in fewer than ``support``
+different contexts (copies of one passage are one context) counts with a lower
+bound: with c contexts as c independent sightings, P(e | t) is n_et / n_t times
+CHANCE ** (1 / c), the one-sided bound after c hits of c, so PMI is less by
+-log(CHANCE) / c. A term is generalised to its shape from ``generalise_at`` on
+and removed from ``remove_at`` on, wherever it occurs.
+
+Scale. Contexts are folded before they are counted; pairs are as many as the
+words beside entities, and only terms that disclose something are looked for in
+the texts. What a text contains is keyed by the
 text's hash, so copies share one row; texts meet it by a join that Spark may
 broadcast or split by its real size. All of it is built-in expressions, grouped
 counts and joins; the list of terms is broadcast only after its size is checked.
@@ -23,6 +25,8 @@ counts and joins; the list of terms is broadcast only after its size is checked.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +45,7 @@ PATTERNS = (
 )
 WORD = r"[\p{L}\p{N}_]+"
 REACH = 120  # characters of context on either side
+CHANCE = 0.05  # of the true share of a rarely seen pair being below its bound
 
 
 def _digits(match: Column) -> Column:
@@ -68,11 +73,12 @@ def _passes(kind: int, match: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(text: Column, pattern: str, kind: int, keep) -> Column:
+def _spans(text: Column, pattern: str | Column, kind: int, keep) -> Column:
     """Spans ``(start, kind, end)`` of the matches that ``keep`` accepts. A
     match starts after the pieces between matches and the matches before it."""
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
     found = F.arrays_zip(F.split(text, pattern, -1).alias("gap"),
-                         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"))
+                         F.regexp_extract_all(text, pattern, F.lit(0)).alias("match"))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     begin = F.struct(F.lit(0).alias("at"), none.alias("spans"))
 
@@ -99,16 +105,18 @@ def _near(text: Column, span: Column) -> Column:
     """Lower-cased words within reach of a span; words cut by the reach are
     left out."""
     start, end = span["start"], span["end"]
-    left = F.substring(text, F.greatest(start - REACH, F.lit(0)) + 1, F.least(start, F.lit(REACH)))
-    left = F.when(start > REACH, F.regexp_replace(left, r"^\S+", "")).otherwise(left)
-    right = F.substring(text, end + 1, F.lit(REACH))
-    right = F.when(F.length(right) == REACH, F.regexp_replace(right, r"\S+$", "")).otherwise(right)
+    # one character more than the reach tells whether its edge cuts a word
+    left = F.substring(text, F.greatest(start - REACH - 1, F.lit(0)) + 1, F.least(start, F.lit(REACH + 1)))
+    left = F.when(start > REACH, F.regexp_replace(left, rf"(?s)^(?:{WORD}|.)", "")).otherwise(left)
+    right = F.substring(text, end + 1, F.lit(REACH + 1))
+    right = F.when(F.length(right) > REACH, F.regexp_replace(right, rf"(?s)(?:{WORD}|.)\z", "")).otherwise(right)
     words = F.regexp_extract_all(F.lower(F.concat(left, F.lit(" "), right)), F.lit(WORD), F.lit(0))
     return F.filter(F.array_distinct(words), _a_term)
 
 
 def _a_term(word: Column) -> Column:
-    return (F.length(word) >= 3) & ~word.rlike("^[0-9]+$")
+    """Numbers and short words count too, but for one or two Latin letters."""
+    return (F.length(word) >= 3) | ~word.rlike(r"^[\p{IsLatin}_]+$")
 
 
 def disclosing_terms(texts: DataFrame, support: int = 2, generalise_at: float = 0.5) -> tuple[DataFrame, DataFrame]:
@@ -125,7 +133,7 @@ def disclosing_terms(texts: DataFrame, support: int = 2, generalise_at: float =
     entities = contexts.groupBy("entity").agg(F.sum("docs").alias("n_e"))
     pairs = contexts.select("entity", "docs", F.explode("words").alias("term")).groupBy("entity", "term").agg(
         F.sum("docs").alias("n_et"), F.count("*").alias("contexts"))
-    pairs = staged(pairs.filter(F.col("contexts") >= support), "pairs")
+    pairs = staged(pairs, "pairs")
 
     # how many documents hold each word: counted per task first, so a word
     # costs a row per task, not one per document
@@ -136,6 +144,7 @@ def disclosing_terms(texts: DataFrame, support: int = 2, generalise_at: float =
     scored = pairs.join(n_t, "term").join(entities, "entity")
     ic = F.log(total / F.col("n_e"))
     pmi = F.log(total * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
+    pmi = F.when(F.col("contexts") >= support, pmi).otherwise(pmi + math.log(CHANCE) / F.col("contexts"))
     terms = scored.filter(F.col("n_e") < total).groupBy("term").agg(F.max(F.least(pmi / ic, F.lit(1.0))).alias("disclosure"))
     terms = staged(terms.filter(F.col("disclosure") >= generalise_at), "terms")
     marks = words.join(small(terms), "term").dropDuplicates(["text_key", "term"]).groupBy("text_key").agg(
@@ -160,10 +169,12 @@ def find(df: DataFrame, text_col: str = "text", support: int = 2, generalise_at:
     marks = staged(marks, "marks").select(F.col("text_key").alias(key), F.col("terms").alias(marks_of))
     whole = F.coalesce(col(text_col), F.lit(""))
     rows = df.withColumn(text, whole).join(marks, F.xxhash64(whole) == F.col(key), "left").withColumn(base, base_spans(F.col(text)))
+    # only whole words that are terms of the text, so that other words cost no step
+    listed = F.concat(F.lit(rf"(?iu)(?<!{WORD[:-1]})(?:"), F.array_join(F.map_keys(F.col(marks_of)), "|"), F.lit(rf")(?!{WORD[:-1]})"))
     terms = F.when(F.col(marks_of).isNotNull(), _spans(
-        F.col(text), WORD, 4, lambda w: F.map_contains_key(F.col(marks_of), F.lower(w))))
+        F.col(text), listed, 4, lambda w: F.map_contains_key(F.col(marks_of), F.lower(w))))
     free = F.filter(terms, lambda t: ~F.exists(F.col(base), lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"])))
-    rows = rows.withColumn(spans, F.when(free.isNull(), F.col(base)).otherwise(F.array_sort(F.concat(F.col(base), free))))
+    rows = rows.withColumn(spans, F.when(F.col(marks_of).isNull(), F.col(base)).otherwise(F.array_sort(F.concat(F.col(base), free))))
     rows = rows.withColumn(out, _rewritten(F.col(text), F.col(spans), F.col(marks_of), remove_at))
     return rows.select(*[col(c) for c in df.columns], base, spans, out)
 

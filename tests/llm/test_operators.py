@@ -137,6 +137,32 @@ def test_pii_terms(spark):
     assert out[10]["spans"] == [] and out[10]["sanitised"] == rows_[4][1]
 
 
+def test_pii_terms_of_one_passage(spark):
+    """An address that stands once, or in copies of one passage, is scored."""
+    rows_ = [(i, f"please call someone today at home or never {'abcdefgh'[i % 8] * 4}") for i in range(3000)]
+    rows_ += [(5000, "please call Hapax at solo@acme.org today")] + [(6000 + i, "please call Copied at copy@acme.org today") for i in range(3)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string")
+    terms = {r["term"]: r["disclosure"] for r in pii.disclosing_terms(df.select("text"))[0].collect()}
+    assert set(terms) == {"hapax", "copied"} and all(0.5 <= d < 0.9 for d in terms.values())
+    out = {r["doc_id"]: r["sanitised"] for r in pii.find(df).collect()}
+    assert out[5000] == "please call x at [EMAIL] today" and out[6001] == "please call x at [EMAIL] today"
+    assert out[0] == rows_[0][1]
+
+
+def test_pii_terms_numbers_short_words_and_edges(spark):
+    """Numbers and names of two characters are terms; the reach is cut at word
+    edges, also in text without blanks, and a word that ends at its edge stays."""
+    wide = "、".join(["天地玄黄"] * 40)
+    rows_ = [(i, f"{n} customer 4711 writes from zed@acme.org today") for i, n in enumerate(("alpha", "beta", "gamma", "delta"))]
+    rows_ += [(10 + i, f"{wide}、{n}、王伟、li@acme.cn、{wide}") for i, n in enumerate(("甲乙丙", "丁戊己", "庚辛壬"))]
+    rows_ += [(20 + i, f"{n * 9} edge {'. ' * 56}at ed@acme.org {n * 5}") for i, n in enumerate("uvw")]
+    rows_ += [(100 + i, f"customer writes from home today {wide}") for i in range(60)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string")
+    assert {"4711", "王伟", "edge"} <= {r["term"] for r in pii.disclosing_terms(df.select("text"))[0].collect()}
+    out = {r["doc_id"]: r["sanitised"] for r in pii.find(df).collect()}
+    assert "4711" not in out[0] and "王伟" not in out[10]
+
+
 @pytest.mark.parametrize("which", ["docs", "edge"])
 def test_mixing(spark, docs, edge, which):
     df = {"docs": docs, "edge": edge}[which]
