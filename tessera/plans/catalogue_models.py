@@ -16,7 +16,7 @@ from tessera.operators.evaluate import (assign_folds, linear_grid_cv, oof_group_
                                         rmsle_by_fold, summarize_scores)
 from tessera.operators.impute import drop_outliers
 from tessera.operators.models import (GroupMean, PolyRidge, Trees, base_models, elastic_net,
-                                      lasso, ridge)
+                                      lasso, meta_model, ridge)
 from tessera.operators.stats import RobustScaler
 from tessera.plans.catalogue import FOLD_KEY, FOLD_WEIGHTS, KEY, fold_sql, query, r6
 from tessera.plans.features import SalesFeatures, outlier_rule
@@ -348,11 +348,9 @@ def gbt_early_stop(spark, d):
 
 # --- stacking -------------------------------------------------------------------
 
-def small_stack(seed: int = 42, keep_features: bool = False, k: int = 3) -> Stacking:
-    """Three members under a ridge; ``ensemble_predictions`` runs all six under
-    the booster."""
-    bases = [m for m in base_models("small", seed, 20) if m.name in ("lasso", "poly_ridge", "gbt_xgb")]
-    return Stacking(bases, ridge(5.0, scale=False, name="meta_ridge"), KEY, k=k, seed=seed,
+def small_stack(seed: int = 42, keep_features: bool = False, k: int = 5) -> Stacking:
+    """The six members under the boosted meta model, 20 trees a booster."""
+    return Stacking(base_models("small", seed, 20), meta_model("small", seed, 20), KEY, k=k, seed=seed,
                     keep_features=keep_features)
 
 
@@ -387,7 +385,7 @@ def stack_cv(spark, d):
     """Outer k-fold score of the whole stack (V5, V6): per outer fold the
     stack is fitted on the other folds and scored on this one."""
     train, _, feats = _split(spark, d)
-    outer = assign_folds(train, FOLD_KEY, 3, 7, FOLD_WEIGHTS).withColumnRenamed("fold", "outer")
+    outer = assign_folds(train, FOLD_KEY, 5, 7, FOLD_WEIGHTS).withColumnRenamed("fold", "outer")
 
     from tessera.plans.pipeline import clip_bounds
 
@@ -400,7 +398,7 @@ def stack_cv(spark, d):
         held = held.withColumn("prediction", X.clip_log_prediction("prediction", lo, hi))
         return stage(held.select(*KEY, F.lit(f).alias("fold"), "y", "prediction"), "stack-cv")
 
-    parts = side_by_side(one, range(3))
+    parts = side_by_side(one, range(5))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -445,7 +443,7 @@ def compare_models() -> dict:
     }
 
 
-def cv_scores(spark, d, k: int = 3) -> DataFrame:
+def cv_scores(spark, d, k: int = 5) -> DataFrame:
     """``(model, fold, rmsle)``: every learner fitted on k−1 folds, scored on the
     held-out one; fits run from a small pool, scores are one aggregation each."""
     train, _, feats = _split(spark, d)

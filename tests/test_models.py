@@ -187,3 +187,21 @@ def test_ensemble_presets_run(spark, sales_features, preset):
     rows = out.collect()
     assert len(rows) == n_test and all(r.log_prediction is not None for r in rows)
     assert abs(sum(PRESET_WEIGHTS[preset].values()) - 1.0) < 1e-9
+
+
+def test_registered_ensembles_are_whole(monkeypatch):
+    """Six members under the booster, five folds, three seeds, ten lasso folds."""
+    import inspect
+
+    import __spark_entry__ as entry_point
+    from tessera.plans import catalogue_models as cm
+    stack = cm.small_stack()
+    assert len(stack.bases) == 6 and stack.meta.name == "meta_gbt" and stack.k == 5
+    assert inspect.signature(cm.cv_scores).parameters["k"].default == 5
+    seen = []
+    monkeypatch.setattr(entry_point, "run", lambda spark, d, opts: seen.append(opts))
+    monkeypatch.setattr(entry_point, "ensure_checkpoint_dir", lambda spark: None)
+    entry_point.entry(None)
+    for name in ("ensemble_predictions", "ensemble_cv", "ensemble_documented", "ensemble_third_party"):
+        entry_point.queries()[name](None, "")
+    assert {(o.seeds, o.folds, o.outer_folds, o.cv_folds, o.lasso_folds) for o in seen} == {((42, 123, 456), 5, 5, 5, 10)}
