@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (chat, decontaminate, embed_dedup, line_dedup, mixing, pii, quality, sharding, simhash,
-                         toxicity)
+from tessera.llm import (chat, codes, decontaminate, embed_dedup, line_dedup, mixing, packing, pii, quality, sharding,
+                         simhash, spelling, toxicity)
 from tessera.llm.common import table
 
 SHARD_BYTES = 16 << 20   # of text, before compression
@@ -71,8 +71,52 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.9)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.quantise(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "").alias("code"),
+                        "error", "label_error", F.lit(codes.books_sha256(books)).alias("codebooks_sha256"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select("doc_id", "piece", "start", "length", packing.ids_crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_sharding, op3_mixing, op4_line_dedup, op5_pii, op6_simhash,
-                                   op7_decontamination, op8_quality, op9_chat, op10_embedding_dedup)}
+                                   op7_decontamination, op8_quality, op9_chat, op10_embedding_dedup, op11_spelling,
+                                   op12_vector_codes, op13_packing)}
+
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    """The rounds written out: squared distances, nearest entries, new means."""
+    near = """
+dist{k} AS (SELECT vec_id, part, entry, sum((x - c) * (x - c)) AS d FROM x JOIN book{k} USING (part, pos) GROUP BY ALL),
+near{k} AS (SELECT vec_id, part, min(d * 16 + entry) % 16 AS entry, min(d) AS d FROM dist{k} GROUP BY ALL)"""
+    step = """
+mean{k} AS (SELECT part, pos, entry, sum(x) AS s, count(*) AS n FROM x JOIN near{k} USING (vec_id, part) GROUP BY ALL),
+book{n} AS (SELECT part, pos, entry, CAST(coalesce((s - (s % n + n) % n) // n, c) AS BIGINT) AS c
+            FROM book{k} LEFT JOIN mean{k} USING (part, pos, entry))"""
+    return """
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS (SELECT vec_id, d // 8 AS part, d % 8 AS pos, v[d + 1] AS x FROM kept, range(0, 64) AS r(d)),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT 16),
+book0 AS (SELECT part, pos, entry, x AS c FROM x JOIN first USING (vec_id)),""" + ",".join(
+        near.format(k=k) + "," + step.format(k=k, n=k + 1) for k in range(rounds)) + "," + near.format(k=rounds) + f""",
+coded AS (SELECT vec_id, string_agg(lpad(lower(hex(entry)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+          FROM near{rounds} GROUP BY vec_id),
+sums AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM coded JOIN kept USING (vec_id) GROUP BY label)
+SELECT vec_id, code, error, label_error,
+       (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id) JOIN sums ON kept.label IS NOT DISTINCT FROM sums.label"""
+
 
 _STRIP = "html"
 for _pattern, _put in (*line_dedup._STEPS,):
@@ -124,4 +168,5 @@ SELECT conv_id, perspective, part, count(*) AS n_turns,
        coalesce(string_agg(CASE WHEN role = perspective THEN CAST(s AS BIGINT) || ':' || CAST(s + length(said) AS BIGINT) END, ','
                 ORDER BY turn NULLS FIRST, role, said), '') AS mask
 FROM q GROUP BY conv_id, perspective, part""",
+    "op12_vector_codes": _codes_sql(),
 }

@@ -134,3 +134,72 @@ def cosine(rows, threshold=0.9):
         if i is not None:
             ids[root[k]] = min(i, ids.get(root[k], i))
     return [(i, len(links[k]), ids.get(root[k]), i is not None and ids.get(root[k]) == i) for k, (i, _) in enumerate(rows)]
+
+
+def spelling(docs):
+    """[(id, text)] -> [(word, form, root, n, n_near, form_n)]."""
+    import zlib
+    n = {}
+    for i, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 97 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            n[run] = n.get(run, 0) + 1
+    n = {w: c for w, c in n.items() if len(w) >= 5 and c >= 3}
+    less = {}
+    for w in n:
+        for k in range(len(w)) if len(w) < 1000 else range(1):
+            less.setdefault((k, w[:k] + w[k + 1:]), []).append(w)
+    near = {w: set() for w in n}
+    for group in less.values():                       # replaced
+        for w in group:
+            near[w] |= {*group} - {w}
+    for w in n:                                       # deleted, and so inserted
+        for k in range(len(w)) if len(w) < 1000 else range(1):
+            s = w[:k] + w[k + 1:]
+            if s in n:
+                near[w].add(s)
+                near[s].add(w)
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda o: (-n[o], o), default=None)
+        form[w] = best if best is not None and n[best] >= 2 * n[w] else None
+    out = []
+    for w in n:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n[w], len(near[w]), n[form[w]] if form[w] else None))
+    return out
+
+
+def codes(rows, parts=8, entries=16, rounds=6):
+    """[(id, vector, label)] -> ([(id, codes, error, label error)], codebooks), in Python integers."""
+    import math
+    kept = [(i, v, label) for i, v, label in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    width = max(1, -(-max(len(v) for _, v, _ in kept) // parts))
+    kept = [(i, [math.floor(4096 * x) for x in v], label) for i, v, label in kept]
+    first = sorted(kept, key=lambda r: (r[0] is None, r[0] or 0, r[1]))[:entries]
+    kept, first = ([(i, v + [0] * (parts * width - len(v)), label) for i, v, label in r] for r in (kept, first))
+    cut = lambda v, p: v[p * width:(p + 1) * width]
+    books = [[cut(v, p) for _, v, _ in first] for p in range(parts)]
+
+    def nearest(p, x):
+        d = [sum((a - b) ** 2 for a, b in zip(x, c)) for c in books[p]]
+        return d.index(min(d)), min(d)
+
+    for _ in range(rounds):
+        new = []
+        for p in range(parts):
+            groups = {}
+            for _, v, _ in kept:
+                groups.setdefault(nearest(p, cut(v, p))[0], []).append(cut(v, p))
+            new.append([[sum(c) // len(groups[e]) for c in zip(*groups[e])] if e in groups else old for e, old in enumerate(books[p])])
+        books = new
+    done = [[nearest(p, cut(v, p)) for p in range(parts)] for _, v, _ in kept]
+    total = {}
+    for (_, _, label), d in zip(kept, done):
+        total[label] = total.get(label, 0) + sum(e for _, e in d)
+    return [(i, tuple(k for k, _ in d), sum(e for _, e in d), total[label]) for (i, _, label), d in zip(kept, done)], books
