@@ -163,11 +163,9 @@ def _pack_rows(tokenizer_json: str, by_word: bool, end_id: int, capacity: int, o
 
         def table(ids, rows, values, is_open):
             piece, start, length, bin_, offset = np.array(rows, dtype=np.int64).reshape(-1, 5).T
-            ends = np.concatenate([[0], np.cumsum(length if values else length * 0)])
-            flat = np.frombuffer(b"".join(values), dtype="<u4").astype(np.int32)
             return pa.RecordBatch.from_arrays(
                 [ids, pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length),
-                 pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat)),
+                 pa.array(values, pa.binary()),
                  pa.array(bin_ + first), pa.array(offset), pa.array(np.full(len(piece), is_open))],
                 ["doc_id", "piece", "start", "length", "ids", "bin", "offset", "is_open"])
 
@@ -195,7 +193,7 @@ def _pack_rows(tokenizer_json: str, by_word: bool, end_id: int, capacity: int, o
                 yield packed(ids, held)
         rest = packer.rest()
         if rest:
-            yield table(pa.nulls(len(rest), id_type), [(0, 0, used, b, 0) for b, used in rest], [], True)
+            yield table(pa.nulls(len(rest), id_type), [(0, 0, used, b, 0) for b, used in rest], [None] * len(rest), True)
     return run
 
 
@@ -216,7 +214,9 @@ def _merge(capacity: int, open_bins: int):
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
          open_bins: int = OPEN_BINS, end_id: int = END_ID, by_word: bool = True) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids, sequence_id,
-    offset``; ``tokenizer`` is the path of a vocabulary file on the driver.
+    offset``; ``tokenizer`` is the path of a vocabulary file on the driver. ``ids``
+    are little-endian unsigned 32-bit numbers in one binary value, which Spark
+    copies as it is and ``numpy.frombuffer(ids, "<u4")`` reads.
 
     A null or empty text is its end id alone. Rows that repeat an id are
     documents of their own; ids may be null. Other columns are ignored, whatever
@@ -229,7 +229,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     from pyspark.sql.pandas.types import to_arrow_type
     packed = rows.mapInArrow(
         _pack_rows(text, by_word, end_id, capacity, open_bins, to_arrow_type(kind)),
-        f"doc_id {kind.simpleString()}, piece int, start long, length long, ids array<int>, bin long, offset long, is_open boolean")
+        f"doc_id {kind.simpleString()}, piece int, start long, length long, ids binary, bin long, offset long, is_open boolean")
     packed = staged(packed, "packed")
     pieces = packed.filter("not is_open")
     rest = packed.filter("is_open").select("bin", F.col("length").alias("used"), F.shiftright("bin", 32).alias("part"))
@@ -262,14 +262,5 @@ def sequences(pieces: DataFrame) -> DataFrame:
     one sequence at most (``capacity`` ids) is gathered in a place."""
     parts = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "ids")))
     return pieces.groupBy("sequence_id").agg(parts.alias("p")).select(
-        "sequence_id", F.flatten("p.ids").alias("ids"), F.col("p.doc_id").alias("doc_ids"), F.col("p.offset").alias("offsets"))
+        "sequence_id", F.unhex(F.array_join(F.transform("p.ids", F.hex), "")).alias("ids"), F.col("p.doc_id").alias("doc_ids"), F.col("p.offset").alias("offsets"))
 
-
-def ids_crc32(ids):
-    """Unsigned CRC-32 of an array column's ids as little-endian 32-bit words."""
-    import zlib
-
-    @F.pandas_udf("long")
-    def run(a: pd.Series) -> pd.Series:
-        return pd.Series([zlib.crc32(np.asarray(x, dtype="<u4").tobytes()) for x in a], dtype="int64")
-    return run(ids)

@@ -84,7 +84,7 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
-    return packed.select("doc_id", "piece", "start", "length", packing.ids_crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_sharding, op3_mixing, op4_line_dedup, op5_pii, op6_simhash,

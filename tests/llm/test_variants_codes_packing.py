@@ -164,7 +164,7 @@ def held(pieces, docs, capacity=2048):
         for n, at in enumerate(range(0, len(all_ids), capacity)):
             part = all_ids[at:at + capacity]
             want[i, n, at, len(part), tuple(part)] += 1
-    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], tuple(r["ids"])) for r in pieces) == want
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], tuple(np.frombuffer(r["ids"], "<u4").tolist())) for r in pieces) == want
     bins = defaultdict(list)
     for r in pieces:
         bins[r["sequence_id"]].append((r["offset"], r["length"]))
@@ -207,13 +207,14 @@ def test_packed_sequences_round_trip(spark):
     ids, back = whole_ids(), defaultdict(dict)
     rows = {(r["sequence_id"], r["offset"]): r for r in pieces.drop("ids").collect()}
     for s in whole:
-        assert len(s["ids"]) <= 2048
+        s_ids = np.frombuffer(s["ids"], "<u4")
+        assert len(s_ids) <= 2048
         for at in s["offsets"]:
             r = rows[s["sequence_id"], at]
-            back[r["doc_id"]][r["start"]] = s["ids"][at:at + r["length"]]
+            back[r["doc_id"]][r["start"]] = s_ids[at:at + r["length"]].tolist()
     for r in df.select("doc_id", "text").collect():
         parts = back[r["doc_id"]]
-        assert sum((list(parts[k]) for k in sorted(parts)), []) == ids(r["text"])
+        assert sum((parts[k] for k in sorted(parts)), []) == ids(r["text"])
 
 
 def test_best_fit_closes_the_fullest():
