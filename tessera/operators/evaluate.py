@@ -7,15 +7,16 @@ stable under repartitioning and recomputation after a lost executor
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tessera.operators.models import Linear, gramian, label_stats
-from tessera.runtime import bounded_broadcast, fit_in_slot, side_by_side
+from tessera.operators.models import label_stats
+from tessera.operators.moments import Bank, FittedLinear, ridge_loo
+from tessera.runtime import bounded_broadcast, side_by_side, stage
 
 
 def fold_column(key: Sequence[str], k: int, seed: int,
@@ -39,6 +40,39 @@ def assign_folds(df: DataFrame, key: Sequence[str], k: int = 5, seed: int = 42,
     return df.withColumn(name, fold_column(key, k, seed, weights))
 
 
+FOLD_CHUNK = 20_000     # rows that one task ranks
+
+
+def balanced_folds(df: DataFrame, key: Sequence[str], k: int = 5, seed: int = 42, name: str = "fold",
+                   ties: Sequence[str] = ()) -> DataFrame:
+    """Shuffled folds whose sizes differ by one at most (V1): the row's rank by
+    the hash of its key and the seed, modulo ``k``.
+
+    Ranks are distributed: rows are counted per stretch of the hash, stretches
+    of about ``FOLD_CHUNK`` rows are ranked each in its own task, and a running
+    sum of their counts (itself taken in two levels) gives the offsets. The fold
+    depends on keys only (and on ``ties`` where rows share a key), not on
+    partitions or order; rows equal in both are interchangeable.
+    """
+    place, order = "__place", [*key, *ties]
+    rows = df.withColumn(place, F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key], F.lit(str(seed)))))
+    digits = 1
+    while 16 ** digits * FOLD_CHUNK < df.count() and digits < 8:
+        digits += 1
+    rows = rows.withColumn("__stretch", F.substring(place, 1, digits))
+    counts = stage(rows.groupBy("__stretch").agg(F.count(F.lit(1)).alias("n")), "stretches")
+    block = F.substring("__stretch", 1, max(1, digits - 2))
+    upto = Window.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = counts.groupBy(block.alias("block")).agg(F.sum("n").alias("n")).select(
+        "block", F.coalesce(F.sum("n").over(upto.orderBy("block")), F.lit(0)).alias("first"))
+    offsets = counts.withColumn("block", block).join(blocks, "block").select(
+        F.col("__stretch").alias("of"), (F.col("first") + F.coalesce(F.sum("n").over(
+            upto.partitionBy("block").orderBy("__stretch")), F.lit(0))).alias("offset"))
+    ranked = rows.withColumn("__rank", F.row_number().over(Window.partitionBy("__stretch").orderBy(place, *order)) - 1)
+    ranked = ranked.join(bounded_broadcast(offsets), F.col("__stretch") == F.col("of"))
+    return ranked.select(*df.columns, F.pmod(F.col("offset") + F.col("__rank"), F.lit(k)).cast("int").alias(name))
+
+
 def rmsle(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Root mean squared error in log scale, one row ``(rmsle, n)`` (V2)."""
     return df.agg(F.sqrt(F.avg(F.pow(F.col(pred) - F.col(label), 2))).alias("rmsle"),
@@ -94,16 +128,9 @@ def oof_group_mean(df: DataFrame, label: str, by: str | None, fold: str = "fold"
 
 def fold_gramians(df: DataFrame, features: list[str], label: str, fold: str,
                   k: int) -> np.ndarray:
-    """Per-fold Gramians of ``[1, x…, y]``, shape (k, p+2, p+2), each summed by
-    Spark over that fold's rows; their size is features² × folds."""
-    rows = VectorAssembler(inputCols=["__one", *features, "__y"], outputCol="__row", handleInvalid="keep").transform(
-        df.select(*features, F.lit(1.0).alias("__one"), F.col(label).cast("double").alias("__y"),
-                  F.col(fold).alias("__f"))).select("__f", "__row")
-    size = len(features) + 2
-    there = {r[0] for r in rows.select("__f").distinct().collect()}
-    grams = side_by_side(lambda f: gramian(rows.filter(F.col("__f") == f), "__row") if f in there
-                         else np.zeros((size, size)), range(k))
-    return np.stack(grams)
+    """Per-fold Gramians of ``[1, x…, y]``, shape (k, p+2, p+2), from one pass."""
+    bank = Bank(df, features, label, {"fold": (F.col(fold), k)})
+    return np.stack([bank.gram({}, features, {"fold": f}) for f in range(k)])
 
 
 def _centred(gram: np.ndarray):
@@ -130,78 +157,53 @@ def heldout_sse(gram: np.ndarray, w: np.ndarray, b: float) -> tuple[float, float
     return max(float(sse), 0.0), float(n)
 
 
-def _ridge_scores(df: DataFrame, features: list[str], label: str, alphas: Sequence[float],
-                  fold: str, k: int) -> list[tuple[float, int, float]]:
-    """Ridge: a training part's Gramian is the total minus its fold, and the
-    held-out error follows from the fold's Gramian."""
-    grams = fold_gramians(df, features, label, fold, k)
-    total = grams.sum(axis=0)
-    rows = []
-    for f in range(k):
-        for a in alphas:
-            w, b = ridge_on_gramian(total - grams[f], float(a))
-            sse, n = heldout_sse(grams[f], w, b)
-            rows.append((float(a), f, float(np.sqrt(sse / n)) if n else float("nan")))
-    return rows
-
-
-def _fitted_scores(df: DataFrame, features: list[str], label: str, kind: str, alphas: Sequence[float],
-                   fold: str, k: int) -> list[tuple[float, int, float]]:
-    """Lasso: one Spark fit per (fold, α); all α of a fold are scored in one
-    pass over its rows."""
-    cols = df.select(F.col(fold).alias("__f"), label, *features)
-
-    def fit(job):
+def bank_grid_scores(bank: Bank, features: list[str], kind: str, alphas: Sequence[float], k: int, part: Mapping[str, int] = {},
+                     spread: np.ndarray | None = None, dim: str = "fold") -> list[tuple[float, int, float]]:
+    """``(alpha, fold, rmse)`` from the bank alone: a training part's Gramian is
+    the total less its fold, and the held-out error follows from the fold's."""
+    def one(job):
         f, a = job
-        return fit_in_slot(Linear(kind, float(a), 1.0, False), cols.filter(F.col("__f") != f), features, label)
+        fit = bank.linear({**part, dim: f}, features, kind, float(a), 1.0, spread)
+        sse, n = heldout_sse(bank.gram(part, features, {dim: f}), fit.coef, fit.intercept)
+        return float(a), f, float(np.sqrt(sse / n)) if n else float("nan")
 
-    jobs = [(f, a) for f in range(k) for a in alphas]
-    fits = dict(zip(jobs, side_by_side(fit, jobs)))
+    bank.grams()
+    return side_by_side(one, [(f, a) for f in range(k) for a in alphas])
 
-    def score(f):
-        held = cols.filter(F.col("__f") == f)
-        for i, a in enumerate(alphas):
-            held = fits[f, a].predict(held, f"__p{i}")
-        r = held.agg(*[F.sqrt(F.avg(F.pow(F.col(f"__p{i}") - F.col(label), 2))) for i in range(len(alphas))]).first()
-        return [(float(a), f, float("nan") if r[i] is None else float(r[i])) for i, a in enumerate(alphas)]
 
-    return [row for part in side_by_side(score, range(k)) for row in part]
+def best_alpha(rows: list[tuple[float, int, float]]) -> float:
+    """Lowest mean fold RMSE, ties to the smaller α."""
+    means: dict[float, list[float]] = {}
+    for a, _, r in rows:
+        means.setdefault(a, []).append(r)
+    return min(means, key=lambda a: (np.nanmean(means[a]), a))
 
 
 def linear_grid_cv(df: DataFrame, features: list[str], label: str, kind: str,
                    alphas: Sequence[float], fold: str = "fold", k: int | None = None) -> tuple[float, DataFrame]:
     """k-fold choice of α for a linear model (M4, M5).
 
-    Ridge is solved on per-fold Gramians, so the α cost no further passes;
-    lasso is Spark's ``LinearRegression`` per fold and α. Returns the best α
+    Gramians of all folds come from one pass, whatever the number of α: ridge is
+    solved on them, lasso is Spark's ``LinearRegression`` on rows with the same
+    moments, and held-out errors are read off them. Returns the best α
     (lowest mean fold RMSE, ties to the smaller α) and the ``(alpha, fold,
     rmsle)`` table."""
     if k is None:
         k = df.agg(F.max(fold)).first()[0] + 1
-    kept = df.select(label, fold, *features).persist()
-    try:
-        rows = (_ridge_scores(kept, features, label, alphas, fold, k) if kind == "ridge"
-                else _fitted_scores(kept, features, label, kind, alphas, fold, k))
-    finally:
-        kept.unpersist()
-    table = df.sparkSession.createDataFrame(rows, "alpha double, fold int, rmsle double")
-    means: dict[float, list[float]] = {}
-    for a, _, r in rows:
-        means.setdefault(a, []).append(r)
-    best = min(means, key=lambda a: (np.nanmean(means[a]), a))
-    return best, table
+    bank = Bank(df, features, label, {"fold": (F.col(fold), k)})
+    rows = bank_grid_scores(bank, features, kind, alphas, k)
+    return best_alpha(rows), df.sparkSession.createDataFrame(rows, "alpha double, fold int, rmsle double")
 
 
-__all__ = ["assign_folds", "fold_column", "rmsle", "rmsle_by_fold", "summarize_scores",
+__all__ = ["balanced_folds", "bank_grid_scores", "best_alpha", "assign_folds", "fold_column", "rmsle", "rmsle_by_fold", "summarize_scores",
            "oof_group_mean", "linear_grid_cv", "label_stats"]
 
 
 class LinearCV:
-    """Robust scaling + linear model whose α is chosen by k-fold CV inside
-    ``fit`` (the grid-searched ridge / lasso members of a stack, M4, M5).
-    Folds hash the row's own values, so no key column is needed."""
-
-    composite = True
+    """Robust scaling + linear model whose α is chosen inside ``fit`` (the
+    searched ridge / lasso members of a stack, M4, M5): ridge by leave-one-out
+    errors, lasso by k-fold errors on the bank's dimension ``cv``. Folds hash the
+    row's own values, so no key column is needed."""
 
     def __init__(self, kind: str, alphas: Sequence[float], k: int = 5, seed: int = 42,
                  name: str | None = None):
@@ -209,15 +211,21 @@ class LinearCV:
         self.name = name or f"{kind}_cv"
         self.best: float | None = None
 
-    def fit(self, df: DataFrame, features: list[str], label: str):
-        from tessera.operators.models import _FittedSpark
-        from tessera.operators.stats import RobustScaler
-        sc = RobustScaler(features).fit(df)
-        ex = sc.expressions()
-        scaled = df.select(label, *[ex[c].alias(c) for c in features]).withColumn(
-            "__fold", F.pmod(F.xxhash64(*[F.col(c) for c in features], F.col(label),
-                                        F.lit(self.seed)), F.lit(self.k)).cast("int"))
-        self.best, _ = linear_grid_cv(scaled, features, label, self.kind, self.alphas,
-                                      fold="__fold", k=self.k)
-        fitted = fit_in_slot(Linear(self.kind, self.best, 1.0, False, self.name), scaled, features, label)
-        return _FittedSpark(fitted.model, features, sc)
+    def dims(self, features: Sequence[str], label: str) -> dict:
+        """What the member needs of a bank beside the stack's folds."""
+        if self.kind == "ridge":
+            return {}
+        cells = F.xxhash64(*[F.col(f"`{c}`") for c in (*features, label)], F.lit(self.seed))
+        return {f"cv{self.k}": (F.pmod(cells, F.lit(self.k)).cast("int"), self.k)}
+
+    def fit(self, df: DataFrame, features: list[str], label: str) -> FittedLinear:
+        return self.fit_bank(Bank(df, features, label, self.dims(features, label)), features, {})
+
+    def fit_bank(self, bank: Bank, features: list[str], part: dict) -> FittedLinear:
+        spread = bank.spread(part, features)
+        if self.kind == "ridge":
+            errors = ridge_loo(bank.rows, bank, features, self.alphas, [part])[0]
+            self.best = float(min(zip(errors, self.alphas))[1])
+        else:
+            self.best = best_alpha(bank_grid_scores(bank, features, self.kind, self.alphas, self.k, part, spread, f"cv{self.k}"))
+        return bank.linear(part, features, self.kind, self.best, 1.0, spread)

@@ -5,11 +5,11 @@ adds column ``out`` and keeps every other column. Features are plain
 numeric columns; assembling into a vector happens inside, so callers keep a
 fixed schema.
 
-Linear models use Spark's ``LinearRegression`` with the normal-equation
-solver: one distributed pass builds the p×p Gramian, the solve (with the
-elastic-net penalty) runs on it, instead of one pass per iteration. Before it
-come the passes for quartiles (if scaled) and label statistics. The penalty mapping from the reference's conventions (n rows,
-s_y the population std of the label):
+Linear models and the polynomial ridge are fitted from second moments
+(:mod:`tessera.operators.moments`): on rows of their own with ``fit``, or with
+``fit_bank`` on a training part of a bank that all folds and members share. The
+penalty mapping from the reference's conventions (n rows, s_y the population std
+of the label):
 
 * Lasso(α)            → regParam = α, elasticNetParam = 1
 * Ridge(α)            → regParam = α·s_y/n, elasticNetParam = 0
@@ -18,22 +18,18 @@ s_y the population std of the label):
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass, field
 from typing import Protocol
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.feature import PolynomialExpansion, VectorAssembler, VectorSizeHint
-from pyspark.ml.regression import (GBTRegressor, LinearRegression,
-                                   RandomForestRegressor)
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
-from tessera.operators.stats import RobustScaler
-from tessera.runtime import bounded_broadcast
+from tessera.operators.moments import DENSE_TERMS, Bank, FittedLinear, FittedPoly
+from tessera.runtime import bounded_broadcast, stage
 
 
 class Fitted(Protocol):
@@ -67,29 +63,28 @@ def linear_params(kind: str, alpha: float, n: int, s_y: float,
     raise ValueError(kind)
 
 
-def _assemble(df: DataFrame, features: list[str], out: str = "__features") -> DataFrame:
-    return VectorAssembler(inputCols=features, outputCol=out,
-                           handleInvalid="keep").transform(df)
+def vector_name(features: list[str]) -> str:
+    """Name of the vector column that holds exactly these features."""
+    return f"__v{zlib.crc32(chr(31).join(features).encode()):08x}"
+
+
+def with_vector(df: DataFrame, features: list[str]) -> DataFrame:
+    """``df`` with the features' vector, unless it has it; null or NaN is an error."""
+    name = vector_name(features)
+    if name in df.columns:
+        return df
+    return VectorAssembler(inputCols=list(features), outputCol=name, handleInvalid="error").transform(df)
 
 
 @dataclass
 class _FittedSpark:
     model: object
     features: list[str]
-    scaler: RobustScaler | None
 
     def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
-        cols = df.columns
-        src = df
-        if self.scaler is not None:
-            ex = self.scaler.expressions()
-            src = df.select(*cols, *[ex[c].alias(f"__s_{c}") for c in self.features])
-            feats = [f"__s_{c}" for c in self.features]
-        else:
-            feats = self.features
         m = self.model
-        pm = {m.featuresCol: "__features", m.predictionCol: out}
-        return m.transform(_assemble(src, feats), pm).select(*cols, out)
+        pm = {m.featuresCol: vector_name(self.features), m.predictionCol: out}
+        return m.transform(with_vector(df, self.features), pm).select(*df.columns, out)
 
 
 @dataclass
@@ -102,21 +97,12 @@ class Linear:
     scale: bool = True
     name: str = "linear"
 
-    def fit(self, df: DataFrame, features: list[str], label: str) -> Fitted:
-        scaler = RobustScaler(features).fit(df) if self.scale else None
-        src = df
-        feats = features
-        if scaler is not None:
-            ex = scaler.expressions()
-            src = df.select(label, *[ex[c].alias(f"__s_{c}") for c in features])
-            feats = [f"__s_{c}" for c in features]
-        n, s_y = label_stats(df, label)
-        reg, en = linear_params(self.kind, self.alpha, n, s_y, self.l1_ratio)
-        est = LinearRegression(featuresCol="__features", labelCol=label, regParam=reg,
-                               elasticNetParam=en, standardization=False, solver="normal",
-                               maxIter=500, tol=1e-10)
-        model = est.fit(_assemble(src, feats))
-        return _FittedSpark(model, features, scaler)
+    def fit(self, df: DataFrame, features: list[str], label: str) -> FittedLinear:
+        return self.fit_bank(Bank(df, features, label, {}), features, {})
+
+    def fit_bank(self, bank: Bank, features: list[str], part: dict) -> FittedLinear:
+        spread = bank.spread(part, features) if self.scale else None
+        return bank.linear(part, features, self.kind, self.alpha, self.l1_ratio, spread)
 
 
 def lasso(alpha: float = 0.0005, name: str = "lasso") -> Linear:
@@ -154,58 +140,24 @@ class Trees:
         kw = dict(self.params)
         if self.early_stop_col:
             kw["validationIndicatorCol"] = self.early_stop_col
-        est = cls(featuresCol="__features", labelCol=label, **kw)
-        cols = [label, *features] + ([self.early_stop_col] if self.early_stop_col else [])
-        model = est.fit(_assemble(df.select(*cols), features))
-        return _FittedSpark(model, features, None)
+        name = vector_name(features)
+        est = cls(featuresCol=name, labelCol=label, **kw)
+        cols = [label, name] + ([self.early_stop_col] if self.early_stop_col else [])
+        return _FittedSpark(est.fit(with_vector(df, features).select(*cols)), list(features))
 
 
 # --- polynomial ridge (M6) ----------------------------------------------------
 
-def gramian(df: DataFrame, vector: str) -> np.ndarray:
-    """XᵀX of a vector column, summed by Spark in a tree of tasks; its size is
-    features², whatever the rows."""
-    rows = MLUtils.convertVectorColumnsFromML(df.select(vector), vector)
-    return RowMatrix(rows).computeGramianMatrix().toArray()
-
-
-@dataclass
-class _FittedPoly:
-    """The fitted quadratic form ``b + x·l + xᵀQx``."""
-
-    features: list[str]
-    b: float
-    l: np.ndarray
-    q: np.ndarray
-
-    def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
-        b, l, q = self.b, self.l, self.q
-
-        @F.pandas_udf(DoubleType())
-        def score(x: pd.Series) -> pd.Series:
-            m = np.vstack(x.to_numpy()).astype(float) if len(x) else np.zeros((0, len(l)))
-            return pd.Series(b + m @ l + ((m @ q) * m).sum(axis=1))
-
-        return df.withColumn(out, score(F.array(*[F.col(c).cast("double")
-                                                   for c in self.features])))
-
-    @classmethod
-    def mean(cls, fits: list["_FittedPoly"]) -> "_FittedPoly":
-        """The model that predicts the mean of ``fits``: forms add up, so one
-        pass over the rows does for all of them."""
-        return cls(fits[0].features, float(np.mean([f.b for f in fits])),
-                   np.mean([f.l for f in fits], axis=0), np.mean([f.q for f in fits], axis=0))
-
-
 @dataclass
 class PolyRidge:
     """Kernel ridge with the polynomial kernel (γxᵀz + c0)^2, no intercept (M6).
 
     Re-aimed from the dual n×n solver (single machine) to the equal primal
-    form on the explicit degree-2 map: ``PolynomialExpansion`` makes the terms,
-    ``RowMatrix`` sums their d×d Gramian over the cluster, the driver solves
-    (ΦᵀΦ + αI)w = Φᵀy. d = 1 + 2p + p(p−1)/2 grows with the feature count only,
-    never with rows. Prediction needs no terms, only a p×p form.
+    form on the explicit degree-2 map, of d = 1 + 2p + p(p−1)/2 terms, which grows
+    with the feature count only, never with rows. Up to ``DENSE_TERMS`` terms
+    the d×d Gramian of the terms is summed by Spark and solved. Beyond, the fit is
+    matrix-free (:func:`tessera.operators.quadratic.fit_quadratic`): no d×d matrix is
+    built anywhere. Prediction needs no terms, only a p×p form.
     """
 
     alpha: float = 0.6
@@ -213,27 +165,17 @@ class PolyRidge:
     gamma: float | None = None
     name: str = "poly_ridge"
 
-    def fit(self, df: DataFrame, features: list[str], label: str) -> Fitted:
-        p = len(features)
-        gamma = self.gamma if self.gamma is not None else 1.0 / p
-        x = _assemble(df.select(F.lit(1.0).alias("__one"), F.col(label).cast("double").alias("__y"),
-                                *[F.col(c).cast("double").alias(c) for c in features]), features)
-        terms = PolynomialExpansion(degree=2, inputCol="__features", outputCol="__terms").transform(x)
-        terms = VectorSizeHint(inputCol="__terms", size=p * (p + 3) // 2, handleInvalid="optimistic").transform(terms)
-        g = gramian(_assemble(terms, ["__one", "__terms", "__y"], "__row"), "__row")
-        # the expansion's order: x_j, then x_i x_j for i up to j
-        pairs = [(i, j) for j in range(p) for i in range(-1, j + 1)]
-        scale = np.array([self.coef0] + [np.sqrt(2 * gamma * self.coef0) if i < 0 else gamma if i == j
-                                         else np.sqrt(2) * gamma for i, j in pairs])
-        d = len(scale)
-        w = scale * np.linalg.solve(g[:d, :d] * np.outer(scale, scale) + self.alpha * np.eye(d), g[:d, d] * scale)
-        l, q = np.zeros(p), np.zeros((p, p))
-        for (i, j), v in zip(pairs, w[1:]):
-            if i < 0:
-                l[j] = v
-            else:
-                q[i, j] = v
-        return _FittedPoly(features, float(w[0]), l, q)
+    def dense(self, p: int) -> bool:
+        return 1 + 2 * p + p * (p - 1) // 2 <= DENSE_TERMS
+
+    def fit(self, df: DataFrame, features: list[str], label: str) -> FittedPoly:
+        return self.fit_bank(Bank(df, features, label, {}), features, {})
+
+    def fit_bank(self, bank: Bank, features: list[str], part: dict) -> FittedPoly:
+        if self.dense(len(bank.features)):
+            return bank.poly(part, features, self.alpha, self.coef0, self.gamma)
+        from tessera.operators.quadratic import fit_quadratic
+        return fit_quadratic(bank, features, [part], self.alpha, self.coef0, self.gamma)[0]
 
 
 # --- deterministic baseline (used where the oracle must agree) ---------------
@@ -263,7 +205,7 @@ class GroupMean:
         if self.by is None:
             m = df.agg(F.avg(label)).first()[0]
             return _FittedGroupMean(None, None, float(m))
-        t = df.groupBy(self.by).agg(F.sum(label).alias("s"), F.count(label).alias("n")).persist()
+        t = stage(df.groupBy(self.by).agg(F.sum(label).alias("s"), F.count(label).alias("n")), "group-means")
         tot = t.agg(F.sum("s"), F.sum("n")).first()
         table = t.filter(F.col(self.by).isNotNull()).select(
             self.by, (F.col("s") / F.col("n")).alias("__gm"))

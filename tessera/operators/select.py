@@ -14,14 +14,15 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 from pyspark.sql.window import Window
 
 from tessera.functions.expr import CORRELATION_CUT, MI_TOP_K, VARIANCE_CUT
+from tessera.operators.moments import matrix, summed
+from tessera.operators.quantiles import cell_quantiles
 from tessera.operators.stats import collect_agg
 from tessera.runtime import bounded_broadcast
 
@@ -112,14 +113,43 @@ def upper_triangle_drops(names: list[str], corr, cut: float) -> list[str]:
     return dropped
 
 
+def pairwise_correlation(df: DataFrame, features: list[str]) -> np.ndarray:
+    """Pearson r of every pair over the rows that have both values; NaN where
+    one is constant there or none is common. One pass after that for the
+    columns' means and deviations, which only keep digits."""
+    x = df.select(F.lit(0).alias("cell"), *[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(f"x{i}")
+                                            for i, c in enumerate(features)])
+    p = len(features)
+    names = x.columns[1:]
+    row = x.agg(*[F.avg(c) for c in names], *[F.stddev_pop(c) for c in names]).first()
+    mean = np.array([v or 0.0 for v in row[:p]])
+    scale = np.array([v or 1.0 for v in row[p:]])
+
+    def partial(batch):
+        z = (matrix(batch, 1) - mean) / scale
+        there = (~np.isnan(z)).astype(float)
+        z = np.nan_to_num(z)
+        a = np.column_stack([there, z, z * z])
+        yield 0, a.T @ a
+
+    g = summed(x, partial, 3 * p).get(0, np.zeros((3 * p, 3 * p)))
+    n, s, q, c = g[:p, :p], g[p:2 * p, :p], g[2 * p:, :p], g[p:2 * p, p:2 * p]
+    with np.errstate(all="ignore"):
+        # s[i, j]: sum of column i over the rows that also have column j
+        cov = c / n - (s / n) * (s / n).T
+        var = q / n - (s / n) ** 2
+        var = np.where(var > 1e-14 * np.maximum(q / n, 1), var, np.nan)
+        return cov / np.sqrt(var * var.T)
+
+
 @dataclass
 class CorrelationFilter:
     """Drop near-duplicate features, |Pearson r| > cut with an earlier one.
 
     Each r is taken over the rows that have both values (NaN counts as
-    missing). Columns without a missing value share one distributed pass
-    (``Correlation.corr``); pairs with one are ``corr`` aggregates, in
-    chunks. Only p² numbers reach the driver.
+    missing). One pass sums the products of values, squares and presence
+    masks of all columns, from which every pair's count, means and (co)variances
+    over its common rows follow; only p² numbers reach the driver.
     """
 
     features: list[str]
@@ -128,17 +158,8 @@ class CorrelationFilter:
     dropped: list[str] = field(default_factory=list)
 
     def fit(self, df: DataFrame) -> "CorrelationFilter":
-        x = df.select([F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in self.features])
-        gaps = collect_agg(x, {c: F.count_if(F.col(c).isNull()) for c in self.features})
-        whole = [c for c in self.features if not gaps[c]]
-        r = {}
-        if len(whole) > 1:
-            vec = VectorAssembler(inputCols=whole, outputCol="__f").transform(x.select(whole))
-            m = Correlation.corr(vec, "__f").head()[0].toArray()
-            r = {(a, b): float(m[i][j]) for i, a in enumerate(whole) for j, b in enumerate(whole)}
-        pairs = [(a, b) for j, b in enumerate(self.features) for a in self.features[:j] if gaps[a] or gaps[b]]
-        some = collect_agg(x, {(a, b): F.corr(a, b) for a, b in pairs})
-        r |= {q: v for (a, b), v in some.items() for q in ((a, b), (b, a))}
+        r = pairwise_correlation(df, self.features)
+        r = {(a, b): float(r[i, j]) for i, a in enumerate(self.features) for j, b in enumerate(self.features)}
         self.matrix = [[1.0 if a == b else r.get((a, b)) for b in self.features] for a in self.features]
         self.dropped = upper_triangle_drops(self.features, self.matrix, self.cut)
         return self
@@ -163,13 +184,11 @@ def fixed_width_bin(c: str, width: float):
     return F.floor(F.col(c).cast("double") / F.lit(float(width)))
 
 
-def quantile_bins(df: DataFrame, columns: list[str], bins: int = 16,
-                  accuracy: int = 10_000) -> dict[str, list[float]]:
-    """Inner bin edges per column from one approximate-quantile aggregation."""
+def quantile_bins(df: DataFrame, columns: list[str], bins: int = 16) -> dict[str, list[float]]:
+    """Inner bin edges per column, exact at every size."""
     probs = [i / bins for i in range(1, bins)]
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, accuracy).alias(c)
-                   for c in columns]).first()
-    return {c: sorted(set(row[c] or [])) for c in columns}
+    found = cell_quantiles(df, columns, probs)[None]
+    return {c: sorted(set(found.get(c, []))) for c in columns}
 
 
 def edge_bin(c: str, edges: list[float]):

@@ -11,12 +11,12 @@ from dataclasses import dataclass, field
 
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.functions.expr import BOXCOX_LAMBDA, PCA_SHARE, SKEW_CUT, boxcox1p
+from tessera.operators.quantiles import cell_quantiles
 from tessera.runtime import bounded_broadcast, stage
 
 
@@ -93,6 +93,10 @@ def group_quantiles(values: DataFrame, by: list[str], probs: list[float], gather
     p = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(v)).alias("p")) for i, v in enumerate(probs)]))
     rows = values.select(*[F.col(c).alias(k) for c, k in zip(by, keys)], F.col("x").cast("double").alias("x"),
                          F.lit(1).cast("long").alias("c")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+    pairs = rows.agg(F.approx_count_distinct(F.struct(*keys, "x"))).first()[0]
+    if pairs <= 10 * gather:
+        # few different values: their counts are ranked as they are
+        return _ranked_counts(rows.groupBy(*keys, "x").agg(F.sum("c").alias("c")), by, keys, probs)
     # around each wanted rank a narrow slice, far wider than the pivots' error
     margin = 4.0 / accuracy
     grid = sorted({min(1.0, max(0.0, v + s)) for v in probs for s in (-margin, margin)})
@@ -142,6 +146,29 @@ def group_quantiles(values: DataFrame, by: list[str], probs: list[float], gather
     return out.select(*[k.alias(c) for k, c in zip(group, by)], F.col("q.v").alias("q"))
 
 
+def _ranked_counts(cells: DataFrame, by: list[str], keys: list[str], probs: list[float]) -> DataFrame:
+    """Quantiles from the counts of a group's different values."""
+    of = Window.partitionBy(*keys)
+    upto = of.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = cells.withColumn("upto", F.sum("c").over(upto)).withColumn("n", F.sum("c").over(of))
+
+    def value(rank):
+        return F.min(F.when(F.col("upto") > rank, F.col("x")))
+
+    picks = []
+    for i, p in enumerate(probs):
+        at = F.lit(float(p)) * (F.col("n") - 1)
+        picks += [value(F.floor(at)).alias(f"low{i}"), value(F.ceil(at)).alias(f"high{i}")]
+    found = cells.groupBy(*keys, "n").agg(*picks)
+    q = []
+    for i, p in enumerate(probs):
+        at = F.lit(float(p)) * (F.col("n") - 1)
+        between = at - F.floor(at)
+        q.append(F.when(F.col(f"low{i}") == F.col(f"high{i}"), F.col(f"low{i}")).otherwise(
+            (1 - between) * F.col(f"low{i}") + between * F.col(f"high{i}")))
+    return found.select(*[F.col(k).alias(c) for k, c in zip(keys, by)], F.array(*q).alias("q"))
+
+
 def _same(left: list[str], right: list[str]) -> Column:
     out = F.lit(True)
     for a, b in zip(left, right):
@@ -151,9 +178,7 @@ def _same(left: list[str], right: list[str]) -> Column:
 
 def column_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict[str, list[float]]:
     """Quantiles of whole columns; a column without a value is left out."""
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in columns])).alias("kv"))
-    return {r["feature"]: r["q"] for r in group_quantiles(long.select("kv.*"), ["feature"], probs).collect()}
+    return cell_quantiles(df, columns, probs)[None]
 
 
 @dataclass
@@ -161,7 +186,7 @@ class RobustScaler:
     """(x − median) / (q75 − q25), a zero spread divides by 1.
 
     Quartiles are exact and linearly interpolated at every size
-    (:func:`group_quantiles`). Spark ML's
+    (:func:`tessera.operators.quantiles.cell_quantiles`). Spark ML's
     RobustScaler is not used: it maps zero-spread columns to 0, which would
     erase nearly every one-hot column.
     """
@@ -197,14 +222,11 @@ def pca_keep_share(df: DataFrame, array_col: str, keep: list[str],
     array, k).
     """
     dims = df.select(F.size(array_col).alias("d")).agg(F.max("d")).first()[0]
-    long = df.select(F.posexplode(array_col).alias("pos", "x"))
-    q = group_quantiles(long, ["pos"], [.25, .5, .75]).collect()
-    med = [0.0] * dims
-    spread = [1.0] * dims
-    for r in q:
-        med[r["pos"]] = r["q"][1]
-        s = r["q"][2] - r["q"][0]
-        spread[r["pos"]] = s if s != 0 else 1.0
+    q = column_quantiles(df.select(*[F.get(array_col, F.lit(i)).alias(f"p{i}") for i in range(dims)]),
+                         [f"p{i}" for i in range(dims)], [.25, .5, .75])
+    q = [q.get(f"p{i}", [0.0, 0.0, 0.0]) for i in range(dims)]
+    med = [m for _, m, _ in q]
+    spread = [(high - low) or 1.0 for low, _, high in q]
     med_arr = F.array(*[F.lit(float(v)) for v in med])
     spr_arr = F.array(*[F.lit(float(v)) for v in spread])
     scaled = df.select(
@@ -227,7 +249,3 @@ def pca_keep_share(df: DataFrame, array_col: str, keep: list[str],
         *keep, F.slice(vector_to_array("__p"), 1, k).alias("pcs"))
     return out, k
 
-
-def column_means(df: DataFrame, vec_col: str):
-    """Mean vector of a vector column (one aggregation)."""
-    return df.select(Summarizer.mean(F.col(vec_col)).alias("m")).first()["m"]

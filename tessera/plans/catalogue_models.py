@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 
 from tessera.functions import expr as X
 from tessera.operators.ensemble import SeedAverage, Stacking, blend
-from tessera.operators.evaluate import (assign_folds, linear_grid_cv, oof_group_mean, rmsle,
+from tessera.operators.evaluate import (assign_folds, bank_grid_scores, best_alpha, fold_column, oof_group_mean, rmsle,
                                         rmsle_by_fold, summarize_scores)
 from tessera.operators.impute import drop_outliers
 from tessera.operators.models import (GroupMean, PolyRidge, Trees, base_models, elastic_net,
-                                      lasso, meta_model, ridge)
-from tessera.operators.stats import RobustScaler
+                                      lasso, meta_model, ridge, with_vector)
+from tessera.operators.moments import Bank
 from tessera.plans.catalogue import FOLD_KEY, FOLD_WEIGHTS, KEY, fold_sql, query, r6
 from tessera.plans.features import SalesFeatures, outlier_rule
-from tessera.runtime import fit_in_slot, side_by_side, stage
+from tessera.runtime import fit_in_slot, fit_rows, side_by_side, stage
 from tessera.sources.fixture import KEY_SQL, SALES_CTE, sales
 
 
@@ -268,16 +268,12 @@ def fit_poly_ridge(spark, d):
 
 def _grid_query(spark, d, kind: str, alphas, k: int) -> DataFrame:
     train, test, feats = _split(spark, d)
-    sc = RobustScaler(feats).fit(train)
-    ex = sc.expressions()
-    scaled_train = assign_folds(
-        train.select(*KEY, "y", *[ex[c].alias(c) for c in feats]), FOLD_KEY, k, 42, FOLD_WEIGHTS)
-    best, _ = linear_grid_cv(scaled_train, feats, "y", kind, alphas, k=k)
-    from tessera.operators.models import Linear
-    fitted = Linear(kind, best, 1.0, False, kind).fit(scaled_train, feats, "y")
-    scaled_test = test.select(*KEY, *[ex[c].alias(c) for c in feats])
-    return fitted.predict(scaled_test, "prediction").select(
-        *KEY, "prediction", F.lit(best).alias("alpha"))
+    folds = fold_column(FOLD_KEY, k, 42, FOLD_WEIGHTS)
+    bank = Bank(train, feats, "y", {"fold": (folds, k)})
+    spread = bank.spread({}, feats)
+    best = best_alpha(bank_grid_scores(bank, feats, kind, alphas, k, {}, spread))
+    fitted = bank.linear({}, feats, kind, best, 1.0, spread)
+    return fitted.predict(test.select(*KEY, *feats), "prediction").select(*KEY, "prediction", F.lit(best).alias("alpha"))
 
 
 @query("ridge_grid_cv")
@@ -388,10 +384,12 @@ def stack_cv(spark, d):
     outer = assign_folds(train, FOLD_KEY, 5, 7, FOLD_WEIGHTS).withColumnRenamed("fold", "outer")
 
     from tessera.plans.pipeline import clip_bounds
+    # the linear members of all outer and inner folds are fitted from one bank
+    bank = small_stack().bank(outer, feats, "y", {"outer": (F.col("outer"), 5)}, [{"outer": f} for f in range(5)])
 
     def one(f: int) -> DataFrame:
         fit_rows = outer.filter(F.col("outer") != f)
-        fitted = small_stack().fit(fit_rows, feats, "y")
+        fitted = small_stack().fit(fit_rows, feats, "y", bank, {"outer": f})
         held = fitted.predict(outer.filter(F.col("outer") == f).select(*KEY, "y", *feats),
                               "prediction")
         lo, hi = clip_bounds(fit_rows, "label_range")     # clip to the labelled range
@@ -447,13 +445,17 @@ def cv_scores(spark, d, k: int = 5) -> DataFrame:
     """``(model, fold, rmsle)``: every learner fitted on k−1 folds, scored on the
     held-out one; fits run from a small pool, scores are one aggregation each."""
     train, _, feats = _split(spark, d)
-    folded = assign_folds(train.select(*KEY, "y", *feats), FOLD_KEY, k, 42,
-                          FOLD_WEIGHTS).persist()
+    folded = assign_folds(train.select(*KEY, "y", *feats), FOLD_KEY, k, 42, FOLD_WEIGHTS)
+    folded = fit_rows(with_vector(folded, feats)).persist()
     models = compare_models()
+    bank = Bank(folded, feats, "y", {"fold": (F.col("fold"), k)}, [{"fold": f} for f in range(k)])
 
     def one(job):
         name, f = job
-        fitted = fit_in_slot(models[name], folded.filter(F.col("fold") != f), feats, "y")
+        if hasattr(models[name], "fit_bank"):
+            fitted = models[name].fit_bank(bank, feats, {"fold": f})
+        else:
+            fitted = fit_in_slot(models[name], folded.filter(F.col("fold") != f), feats, "y")
         held = fitted.predict(folded.filter(F.col("fold") == f), "p")
         return name, f, float(rmsle(held, "y", "p").first()["rmsle"])
 

@@ -96,6 +96,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(want) if len(df.inputFiles()) < want else df
 
 
+# Rows of a task of a tree fit: a fit runs a small job per tree level, and many
+# fits run side by side, so that small tables need few tasks each.
+FIT_TASK_ROWS = 50_000
+
+
+def fit_rows(df: DataFrame) -> DataFrame:
+    """``df`` in no more partitions than it has ``FIT_TASK_ROWS`` rows; a large
+    table keeps its own."""
+    return df.coalesce(max(1, -(-df.count() // FIT_TASK_ROWS)))
+
+
 def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint for ``small`` only when its row count is within bound.
 
