@@ -6,18 +6,22 @@ characters are the assistant's own words: what a model is trained on from that
 perspective.
 
 Scale. A conversation is rendered in parts of ``part_turns`` consecutive turn
-numbers, so a long one is many rows and no task holds it whole; parts of one
-perspective, in order, are the whole rendering. Conversations are grouped by
-(conversation, part), a fine key, and meet their participants by one join.
+numbers, and a part of more than ``PIECE_TURNS`` turns (equal or null numbers) in
+pieces, so a long one is many rows and no task holds it whole; parts and
+pieces of one perspective, in order, are the whole rendering. Turns are numbered
+in two levels: a range-partitioned sort, places inside a range partition, and
+the counts of the partitions before it. Turns are then grouped by
+(conversation, part, piece), a bounded key, and meet their participants by one join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import col
+from tessera.llm.common import col, small, staged
 
+PIECE_TURNS = 1024
 START, END = "<|im_start|>", "<|im_end|>\n"
 
 
@@ -29,8 +33,8 @@ def _header(role: Column, perspective: Column, narrator: str) -> Column:
 
 def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
            text_col: str = "text", narrator: str = "system", part_turns: int = 64) -> DataFrame:
-    """One row per conversation, participant and part: ``conv_id, perspective,
-    part, n_turns, text, mask``; ``mask`` holds ``start:end`` of the
+    """One row per conversation, participant, part and piece: ``conv_id,
+    perspective, part, piece, n_turns, text, mask``; ``mask`` holds ``start:end`` of the
     assistant's words in code points, comma-joined.
 
     Turns go by number, then role, then text; null numbers come first, in part
@@ -44,11 +48,21 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
                         F.coalesce(col(role_col), F.lit("unknown")).alias("role"),
                         F.coalesce(col(text_col), F.lit("")).alias("said"))
     part = F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(0)).cast("long")
-    parts = rows.groupBy("conv_id", part.alias("part")).agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", "said"))).alias("turns"))
-    # array_sort puts structs with a null field last; null numbers come first
-    parts = parts.withColumn("turns", F.concat(F.filter("turns", lambda t: t["turn"].isNull()),
-                                               F.filter("turns", lambda t: t["turn"].isNotNull())))
+    order = [F.col("turn").asc_nulls_first(), "role", "said", "rid"]
+    rows = staged(rows.withColumn("part", part).withColumn("rid", F.monotonically_increasing_id()).repartitionByRange(
+        "conv_id", "part", *order).withColumn("pid", F.spark_partition_id()), "turns")
+    # turns of a part in the range partitions before
+    counts = rows.groupBy("conv_id", "part", "pid").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("conv_id", "part").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).filter("before > 0").select(
+        F.col("conv_id").alias("c"), F.col("part").alias("q"), F.col("pid").alias("p"), "before")
+    inside = Window.partitionBy("conv_id", "part", "pid").orderBy(*order)
+    placed = rows.withColumn("inside", F.row_number().over(inside) - 1).join(
+        small(staged(counts, "turn-offsets")), F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("q")) & (
+            F.col("pid") == F.col("p")), "left")
+    placed = placed.withColumn("place", F.coalesce("before", F.lit(0)) + F.col("inside"))
+    parts = placed.groupBy("conv_id", "part", F.floor(F.col("place") / PIECE_TURNS).cast("long").alias("piece")).agg(
+        F.array_sort(F.collect_list(F.struct("place", "role", "said"))).alias("turns"))
     who = rows.filter(F.col("role") != narrator).select(F.col("conv_id").alias("conv"), F.col("role").alias("perspective")).distinct()
     seen = parts.join(who, F.col("conv_id").eqNullSafe(F.col("conv")))
     pieces = F.transform("turns", lambda t: F.struct(
@@ -65,5 +79,5 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
     seen = seen.withColumn("pieces", pieces)
     text = F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["said"], F.lit(END))), "")
-    return seen.select("conv_id", "perspective", "part", F.size("turns").cast("long").alias("n_turns"), text.alias("text"),
+    return seen.select("conv_id", "perspective", "part", "piece", F.size("turns").cast("long").alias("n_turns"), text.alias("text"),
                        F.array_join(F.aggregate("pieces", begin, step, lambda s: s["mask"]), ",").alias("mask"))

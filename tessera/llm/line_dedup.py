@@ -7,8 +7,9 @@ above ``ratio`` are boilerplate of that host and are dropped from its pages.
 Scale. Frequencies are two grouped counts, combined before the shuffle, so a
 host with a third of all pages costs no more per page than any other. A host
 has at most (lines per page / ratio) boilerplate lines, so they fit one row;
-pages meet that row by one join on the host and filter their own lines, and
-whole pages are not taken apart and put together again.
+pages meet that row by one join on the host (a broadcast if the rows' counted
+bytes allow it) and whole pages are not taken apart and put together again: the
+page's own boilerplate lines are a hashed intersection, linear in both lists.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import col, fresh, small, staged
 
+BROADCAST_BYTES = 16 << 20
+
 # Tags that end a line of text.
 _BLOCK = (r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|"
           r"main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)(?:[\s/][^>]*)?>")
@@ -43,12 +46,12 @@ def lines_of(text: Column) -> Column:
     return F.filter(lines, lambda s: s != "")
 
 
-def drop_boilerplate(pages: DataFrame, host_col: str, text_col: str, ratio: float = 0.2, min_pages: int = 5) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, host_col: str, text_col: str, ratio: float = 0.2, min_pages: int = 1) -> DataFrame:
     """``pages`` with ``n_lines``, ``n_dropped`` and ``kept_text`` appended (an
     underscore is added to a name that is taken).
 
     A line goes if more than ``ratio`` of its host's pages, and more than one,
-    have it and the host has at least ``min_pages`` pages (too few otherwise). Null hosts are
+    have it; hosts of any size count, unless ``min_pages`` asks for more pages. Null hosts are
     one host of their own; null and empty texts have no lines but count as
     pages; every row is a page, also if it repeats; long lines are kept whole.
     """
@@ -63,9 +66,13 @@ def drop_boilerplate(pages: DataFrame, host_col: str, text_col: str, ratio: floa
     size = small(staged(size.filter(F.col("pages") >= min_pages), "hosts"))
     often = seen.join(size, F.col("host").eqNullSafe(F.col("of"))).filter(F.col("n") > F.col("pages") * ratio)
     often = often.groupBy("of").agg(F.collect_list("line").alias(common)).withColumnRenamed("of", host_key)
-    often = small(staged(often, "boilerplate"), 20_000)
-    keep = F.filter(F.col(lines), lambda s: ~F.coalesce(F.array_contains(F.col(common), s), F.lit(False)))
-    joined = rows.join(often, col(host_col).eqNullSafe(F.col(host_key)), "left").withColumn(out[2], keep)
+    often = staged(often, "boilerplate")
+    size = often.agg(F.sum(F.octet_length(F.array_join(common, "\n"))), F.count("*")).first()
+    if (size[0] or 0) <= BROADCAST_BYTES and size[1] <= 200_000:
+        often = F.broadcast(often)
+    joined = rows.join(often, col(host_col).eqNullSafe(F.col(host_key)), "left")
+    joined = joined.withColumn(common, F.array_intersect(lines, F.coalesce(common, F.array().cast("array<string>"))))
+    joined = joined.withColumn(out[2], F.filter(F.col(lines), lambda s: ~F.array_contains(F.col(common), s)))
     return joined.select(*[col(c) for c in pages.columns], F.size(lines).cast("long").alias(out[0]),
                          (F.size(lines) - F.size(out[2])).cast("long").alias(out[1]),
                          F.array_join(F.col(out[2]), "\n").alias(out[2]))

@@ -1,19 +1,20 @@
 """Quality classifier with hierarchical empirical Bayes.
 
 A document has evidence of its own: the logit of a logistic regression on how
-its text is built. It also stands at a place: a host, and a path within it. The
-good share of hosts varies around the global share, that of paths around their
-host's; how much is estimated from the groups themselves (method of moments) and
-gives the strength of the prior, so a group with few documents is drawn to the
-level above and a large one speaks for itself. A document's score is its own
-evidence moved by what its place says beyond the global share; the document is
-left out of its own place.
+its text is built. It also stands at a place: a host, and a path within it. A
+host moves the logit of its documents by an effect of its own, a path by one
+around its host's. Effects are learnt from the labels there, with the evidence
+as offset: the sum of (label − evidence) over the sum of evidence · (1 − evidence)
+plus a prior's strength. How much hosts differ, and paths within them, is
+estimated from the groups' own sums (method of moments) and gives the strength, so
+a place with few labels is drawn to the level above and a well-known one
+speaks for itself. A labelled document is left out of its own place.
 
 Scale. Features are a narrow pass, written once. The regression is fitted on at
 most ``max_docs`` labelled rows (a documented bound). Host and path levels are
 grouped sums, combined before the shuffle; only five global sums reach the
 driver. Groups return to their rows by joins that are broadcast if their counted
-size allows it.
+size allows it; a document on a place without labels takes the level above.
 """
 
 from __future__ import annotations
@@ -73,15 +74,16 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def _strength(n, mean, groups: DataFrame, prior: str) -> float:
-    """Documents that the level above is worth: mean (1 - mean) over the
-    variance between groups, beyond what chance within groups explains."""
-    r = groups.agg(F.count("*"), F.sum("n"), F.sum(F.pow(F.col("s") / F.col("n") - F.col(prior), 2) * F.col("n"))).first()
-    if not r[1]:
-        return 1.0
-    chance = mean * (1 - mean) * r[0] / r[1]  # expected weighted square without any difference
-    between = max(r[2] / r[1] - chance, 0.0)
-    return float(min(max(mean * (1 - mean) / between - 1 if between > 0 else 1e6, 1.0), 1e6))
+def _variance(groups: DataFrame, r: str, v: str) -> float:
+    """Variance of the groups' effects: what their sums of residuals ``r`` vary
+    by beyond the chance ``v``."""
+    got = groups.agg(F.sum(F.col(r) * F.col(r) - F.col(v)), F.sum(F.col(v) * F.col(v))).first()
+    return min(max((got[0] or 0.0) / got[1], 0.0), 25.0) if got[1] else 0.0
+
+
+def _effect(r: Column, v: Column, variance: float) -> Column:
+    """The effect's posterior mean around zero."""
+    return r / (v + F.lit(1 / variance)) if variance > 0 else F.lit(0.0)
 
 
 def posterior(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -92,7 +94,8 @@ def posterior(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     document itself), ``score`` and ``keep`` (score 0.5 or more).
 
     Only labels of rows that are not held out (crc32 of the id, mod 5, not 0)
-    are learnt from; elsewhere the evidence stands in for the label. Null hosts
+    are learnt from. ``host_share`` and ``path_share`` are the good share of a
+    document with the evidence of the labels' mean there. Null hosts
     and paths are groups of their own; null and empty texts have zero features;
     repeated rows are documents of their own, and an id labelled twice has the
     larger label. Without usable labels every score is 0.5.
@@ -118,29 +121,34 @@ def posterior(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     for k, w in enumerate(weights[len(FEATURES):]):
         logit = logit + F.col("x")[k] * F.col("x")[k] * float(w)
     logit = F.greatest(F.least(logit, F.lit(15.0)), F.lit(-15.0))
-    rows = rows.withColumn("evidence", 1 / (1 + F.exp(-logit))).withColumn("own", F.coalesce("label", "evidence"))
+    rows = rows.withColumn("evidence", 1 / (1 + F.exp(-logit))).withColumn("r", F.coalesce(F.col("label") - F.col("evidence"), F.lit(0.0)))
+    rows = rows.withColumn("v", F.when(F.col("label").isNotNull(), F.col("evidence") * (1 - F.col("evidence"))).otherwise(0.0))
 
-    paths = staged(rows.groupBy("host", "path").agg(F.sum("own").alias("s"), F.count("*").alias("n")), "paths")
-    hosts = paths.groupBy("host").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+    told = rows.filter("label is not null")
+    paths = staged(told.groupBy("host", "path").agg(*[F.sum(c).alias(c) for c in ("r", "v")], F.sum("label").alias("s"), F.count("*").alias("n")), "paths")
+    hosts = staged(paths.groupBy("host").agg(*[F.sum(c).alias(c) for c in ("r", "v", "s", "n")]), "hosts")
     total = hosts.agg(F.sum("s").alias("s"), F.sum("n").alias("n")).first()
-    share = min(max((total["s"] or 0.0) / (total["n"] or 1), 1e-3), 1 - 1e-3)
-    hosts = hosts.withColumn("prior", F.lit(share))
-    host_weight = _strength(total["n"], share, hosts, "prior")
-    hosts = staged(hosts.select(F.col("host").alias("h"), F.col("s").alias("host_s"), F.col("n").alias("host_n"),
-                                ((F.col("s") + host_weight * share) / (F.col("n") + host_weight)).alias("host_mean")), "hosts")
-    joined = paths.join(small(hosts), F.col("host").eqNullSafe(F.col("h")))
-    path_weight = _strength(total["n"], share, joined, "host_mean")
-    places = small(staged(joined.select("h", F.col("path").alias("p"), "s", "n", "host_s", "host_n"), "places"))
-
-    at = rows.join(places, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p")))
-    host_share = (F.col("host_s") - F.col("own") + host_weight * share) / (F.col("host_n") - 1 + host_weight)
-    path_share = (F.col("s") - F.col("own") + path_weight * F.col("host_share")) / (F.col("n") - 1 + path_weight)
-    at = at.withColumn("host_share", _inside(host_share)).withColumn("path_share", _inside(path_share))
-    moved = F.log(F.col("evidence") / (1 - F.col("evidence"))) + F.log(F.col("path_share") / (1 - F.col("path_share"))) - math.log(
-        share / (1 - share))
-    return at.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "evidence", "host_share", "path_share",
-                     (1 / (1 + F.exp(-moved))).alias("score")).withColumn("keep", F.col("score") >= 0.5)
-
-
-def _inside(share: Column) -> Column:
-    return F.greatest(F.least(share, F.lit(1 - 1e-6)), F.lit(1e-6))
+    share = min(max((total["s"] or 0.0) / (total["n"] or 1), 1e-3), 1 - 1e-3) if total["n"] else 0.5
+    host_var = _variance(hosts, "r", "v")
+    hosts = hosts.select(F.col("host").alias("h"), F.col("r").alias("host_r"), F.col("v").alias("host_v"))
+    beside = paths.join(small(hosts), F.col("host").eqNullSafe(F.col("h")))
+    # what a path's residuals are beside its host's effect
+    beside = beside.withColumn("beside", F.col("r") - F.col("v") * _effect(F.col("host_r"), F.col("host_v"), host_var))
+    path_var = _variance(beside, "beside", "v")
+    paths = paths.select(F.col("host").alias("ph"), F.col("path").alias("p"), F.col("r").alias("path_r"), F.col("v").alias("path_v"))
+
+    at = rows.join(small(hosts), F.col("host").eqNullSafe(F.col("h")), "left")
+    at = at.join(small(paths), F.col("host").eqNullSafe(F.col("ph")) & F.col("path").eqNullSafe(F.col("p")), "left")
+    without = lambda c, own: F.greatest(F.coalesce(F.col(c), F.lit(0.0)) - F.col(own), F.lit(0.0)) if own == "v" else F.coalesce(F.col(c), F.lit(0.0)) - F.col(own)
+    at = at.withColumn("host_effect", _effect(without("host_r", "r"), without("host_v", "v"), host_var))
+    rest, chance = without("path_r", "r"), without("path_v", "v")
+    at = at.withColumn("path_effect", F.col("host_effect") + _effect(rest - chance * F.col("host_effect"), chance, path_var))
+    middle = math.log(share / (1 - share))
+    moved = F.log(F.col("evidence") / (1 - F.col("evidence"))) + F.col("path_effect")
+    return at.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "evidence",
+                     _share(F.col("host_effect") + middle).alias("host_share"), _share(F.col("path_effect") + middle).alias("path_share"),
+                     _share(moved).alias("score")).withColumn("keep", F.col("score") >= 0.5)
+
+
+def _share(logit: Column) -> Column:
+    return 1 / (1 + F.exp(-F.greatest(F.least(logit, F.lit(40.0)), F.lit(-40.0))))

@@ -11,7 +11,7 @@ from tessera.llm.common import table
 
 SHARD_BYTES = 16 << 20   # of text, before compression
 BOILERPLATE = 0.2        # share of a host's pages
-FEWEST_PAGES = 5
+QUERY_SHARD_BYTES = 64 << 10  # of op2_sharding: small, so that small tables too are split to several depths
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +24,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(
         F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    return sharding.assign_shards(docs, "doc_id", "n_bytes", SHARD_BYTES)
+    return sharding.assign_shards(docs, "doc_id", "n_bytes", QUERY_SHARD_BYTES)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(
         "page_id", line_dedup.host_of(F.col("url")).alias("host"), line_dedup.html_text(F.col("html")).alias("text"))
-    kept = line_dedup.drop_boilerplate(pages, "host", "text", BOILERPLATE, FEWEST_PAGES)
+    kept = line_dedup.drop_boilerplate(pages, "host", "text", BOILERPLATE)
     return kept.select("page_id", "host", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
@@ -135,15 +135,15 @@ leaves AS (
   SELECT doc_id, n_bytes, shard, CAST(depth AS INTEGER) AS depth, shard_bytes, shard_docs,
          row_number() OVER (PARTITION BY doc_id ORDER BY depth) AS nth
   FROM docs JOIN nodes ON substr(bits, 1, CAST(depth AS INTEGER)) = shard
-  WHERE shard_bytes <= {SHARD_BYTES} OR shard_docs = 1)
-SELECT doc_id, n_bytes, shard, depth, shard_bytes, shard_docs, shard_bytes > {SHARD_BYTES} AS oversize FROM leaves WHERE nth = 1""",
+  WHERE shard_bytes <= {QUERY_SHARD_BYTES} OR shard_docs = 1)
+SELECT doc_id, n_bytes, shard, depth, shard_bytes, shard_docs, shard_bytes > {QUERY_SHARD_BYTES} AS oversize FROM leaves WHERE nth = 1""",
     "op4_line_dedup": f"""
 WITH pages_text AS (
   SELECT page_id, lower(coalesce(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '')) AS host, {_STRIP} AS body FROM pages),
 split_lines AS (
   SELECT page_id, host, list_filter(list_transform(string_split(coalesce(body, ''), chr(10)),
          lambda s: trim(regexp_replace(s, '\\s+', ' ', 'g'))), lambda s: s <> '') AS ls FROM pages_text),
-host_pages AS (SELECT host, count(*) AS pages FROM split_lines GROUP BY host HAVING count(*) >= {FEWEST_PAGES}),
+host_pages AS (SELECT host, count(*) AS pages FROM split_lines GROUP BY host),
 seen AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(ls)) AS line FROM split_lines) GROUP BY ALL),
 often AS (SELECT host, list(line) AS common FROM seen JOIN host_pages USING (host)
           WHERE n > 1 AND n > pages * {BOILERPLATE} GROUP BY host),
@@ -153,20 +153,21 @@ SELECT page_id, host, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(res
        sha256(array_to_string(rest, chr(10))) AS kept_sha256 FROM kept""",
     "op9_chat": """
 WITH t AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS said,
-         CAST(coalesce(floor(turn / 64), 0) AS BIGINT) AS part FROM conversations),
+  SELECT *, CAST(floor((row_number() OVER (PARTITION BY conv_id, part ORDER BY turn NULLS FIRST, role, said) - 1) / 1024) AS BIGINT) AS piece
+  FROM (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS said,
+               CAST(coalesce(floor(turn / 64), 0) AS BIGINT) AS part FROM conversations)),
 who AS (SELECT DISTINCT conv_id AS conv, role AS perspective FROM t WHERE role <> 'system'),
 p AS (
   SELECT t.*, perspective, '<|im_start|>' || CASE WHEN role = perspective THEN 'assistant' WHEN role = 'system' THEN 'system'
          ELSE 'user name=' || role END || chr(10) AS head
   FROM t JOIN who ON conv_id IS NOT DISTINCT FROM conv),
 q AS (
-  SELECT *, coalesce(sum(length(head) + length(said) + 11) OVER (PARTITION BY conv_id, perspective, part
+  SELECT *, coalesce(sum(length(head) + length(said) + 11) OVER (PARTITION BY conv_id, perspective, part, piece
          ORDER BY turn NULLS FIRST, role, said ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS s FROM p)
-SELECT conv_id, perspective, part, count(*) AS n_turns,
+SELECT conv_id, perspective, part, piece, count(*) AS n_turns,
        string_agg(head || said || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role, said) AS text,
        coalesce(string_agg(CASE WHEN role = perspective THEN CAST(s AS BIGINT) || ':' || CAST(s + length(said) AS BIGINT) END, ','
                 ORDER BY turn NULLS FIRST, role, said), '') AS mask
-FROM q GROUP BY conv_id, perspective, part""",
+FROM q GROUP BY conv_id, perspective, part, piece""",
     "op12_vector_codes": _codes_sql(),
 }

@@ -314,6 +314,37 @@ def test_quality_shrinks(spark):
     assert abs(lone["path_share"] - lone["host_share"]) < 0.1
 
 
+def test_quality_places_change_whole_tables(spark):
+    """On the given table with two hosts more, one that is good whatever its
+    texts look like and one that is bad, the place decides for unlabelled
+    documents there and leaves the others alone."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    planted = docs.join(labels.drop("quality"), "doc_id", "left").withColumn(
+        "source", F.when(F.col("doc_id") % 7 == 0, "good.example").when(F.col("doc_id") % 7 == 1, "bad.example").otherwise(F.col("source")))
+    place = F.col("doc_id") % 7
+    told = labels.withColumn("quality", F.when(place == 0, 1).when(place == 1, 0).otherwise(F.col("quality")).cast("int"))
+    out = quality.posterior(planted, told).join(planted.select("doc_id", "source"), "doc_id").join(
+        told.select("doc_id", F.lit(1).alias("told")), "doc_id", "left").collect()
+    free = [r for r in out if r["told"] is None or r["held_out"]]
+    by = {h: [r for r in free if r["source"] == h] for h in ("good.example", "bad.example")}
+    assert all(len(v) > 50 for v in by.values())
+    assert np.mean([r["keep"] for r in by["good.example"]]) > 0.9 and np.mean([r["keep"] for r in by["bad.example"]]) < 0.1
+    assert np.mean([r["keep"] != (r["evidence"] >= 0.5) for v in by.values() for r in v]) > 0.3
+    rest = [r for r in free if r["source"] not in by]
+    assert np.mean([r["keep"] != (r["evidence"] >= 0.5) for r in rest]) < 0.05
+
+
+def test_line_dedup_of_small_hosts(spark):
+    """Hosts of two pages lose what both have; a page alone loses nothing; long
+    pages and repeated rows count as any other."""
+    long = "\n".join(f"line {i}" for i in range(20_000))
+    pages_ = [(1, "two", "menu\none"), (2, "two", "menu\ntwo"), (3, "lone", "menu\nthree"), (4, "same", "a\nb"), (4, "same", "a\nb"),
+              (5, "long", long + "\nown 5"), (6, "long", long + "\nown 6"), (7, "three", "x\ny"), (8, "three", "y"), (9, "three", "z")]
+    df = spark.createDataFrame(pages_, "page_id long, host string, text string")
+    got = sorted((r["page_id"], r["kept_text"]) for r in line_dedup.drop_boilerplate(df, "host", "text").collect())
+    assert got == [(1, "one"), (2, "two"), (3, "menu\nthree"), (4, ""), (4, ""), (5, "own 5"), (6, "own 6"), (7, "x"), (8, ""), (9, "z")]
+
+
 def test_line_dedup(spark):
     same = "Menu  home\nunique {0}\nFooter"
     pages_ = [(i, "h", same.format(i)) for i in range(10)] + [(20, "h", None), (21, None, "Footer"), (22, None, ""), (23, "x", "Footer\nFooter")]
@@ -342,6 +373,22 @@ def test_chat(spark):
     assert got[(None, "ann", 0)]["text"][int(mask[0]):int(mask[1])] == "😀x"
 
 
+def test_chat_long_and_hot_conversations(spark, monkeypatch):
+    """Many turns without a number, or with one number, go in pieces that
+    join to the whole rendering."""
+    monkeypatch.setattr(chat, "PIECE_TURNS", 16)
+    turns = [(1, None, "ab"[i % 2], f"t{i:04d}") for i in range(500)] + [(1, 3, "a", "same")] * 40 + [(2, 1, "b", "x")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(7)
+    got = [r for r in chat.rotate(df).collect() if r["conv_id"] == 1 and r["perspective"] == "a"]
+    assert sorted(r["piece"] for r in got) == list(range(34)) and all(r["n_turns"] <= 16 for r in got)
+    got.sort(key=lambda r: r["piece"])
+    who = {"a": "assistant", "b": "user name=b"}
+    want = sorted((t is not None, t or 0, r, s) for c, t, r, s in turns if c == 1)
+    assert "".join(r["text"] for r in got) == "".join(f"<|im_start|>{who[r]}\n{s}<|im_end|>\n" for _, _, r, s in want)
+    said = [r["text"][slice(*map(int, m.split(":")))] for r in got for m in r["mask"].split(",") if m]
+    assert said == [s for _, _, r, s in want if r == "a"]
+
+
 def test_empty_tables(spark, edge):
     none = edge.limit(0)
     labels = spark.createDataFrame([], "doc_id long, toxic int, quality int")
