@@ -127,6 +127,10 @@ class Trees:
     node), leaf size → ``minInstancesPerNode``, min gain → ``minInfoGain``.
     ``early_stop_col`` names a boolean column marking the validation rows
     (M12); with ``stop_on_held_out`` a stack passes its held-out fold there.
+    Without ``patience`` Spark stops at its tolerance; with it, all rounds are
+    fitted, Spark's per-round errors of the validation rows are read, and the model
+    is that of the best round before ``patience`` rounds without a better one
+    (fitted again to that round: with one seed the trees are the same).
     """
 
     kind: str
@@ -134,10 +138,14 @@ class Trees:
     early_stop_col: str | None = None
     name: str = "trees"
     stop_on_held_out: bool = False
+    patience: int | None = None
+    errors: list[float] = field(default_factory=list)
 
     def fit(self, df: DataFrame, features: list[str], label: str) -> Fitted:
         cls = GBTRegressor if self.kind == "gbt" else RandomForestRegressor
         kw = dict(self.params)
+        if self.early_stop_col and self.patience:
+            return self._patient(cls, kw, df, features, label)
         if self.early_stop_col:
             kw["validationIndicatorCol"] = self.early_stop_col
         name = vector_name(features)
@@ -146,6 +154,30 @@ class Trees:
         return _FittedSpark(est.fit(with_vector(df, features).select(*cols)), list(features))
 
 
+    def _patient(self, cls, kw: dict, df: DataFrame, features: list[str], label: str) -> Fitted:
+        name = vector_name(features)
+        rows = with_vector(df, features).select(label, name, self.early_stop_col)
+        learn, held = rows.filter(~F.col(self.early_stop_col)), rows.filter(F.col(self.early_stop_col))
+        model = cls(featuresCol=name, labelCol=label, **kw).fit(learn)
+        self.errors = list(model.evaluateEachIteration(held, kw.get("lossType", "squared")))
+        best = best_round(self.errors, self.patience)
+        if best < len(self.errors):
+            model = cls(featuresCol=name, labelCol=label, **kw | {"maxIter": best}).fit(learn)
+        return _FittedSpark(model, list(features))
+
+
+def best_round(errors: list[float], patience: int) -> int:
+    """Number of rounds up to the lowest error that ``patience`` rounds in a row
+    did not better; the first of equal ones."""
+    best = 0
+    for n, e in enumerate(errors):
+        if e < errors[best]:
+            best = n
+        elif n - best >= patience:
+            break
+    return best + 1
+
+
 # --- polynomial ridge (M6) ----------------------------------------------------
 
 @dataclass

@@ -17,6 +17,7 @@ from tessera.operators.evaluate import (assign_folds, bank_grid_scores, best_alp
 from tessera.operators.impute import drop_outliers
 from tessera.operators.models import (GroupMean, PolyRidge, Trees, base_models, elastic_net,
                                       lasso, meta_model, ridge, with_vector)
+from tessera.operators.huber import HuberBoost
 from tessera.operators.moments import Bank
 from tessera.plans.catalogue import FOLD_KEY, FOLD_WEIGHTS, KEY, fold_sql, query, r6
 from tessera.plans.features import SalesFeatures, outlier_rule
@@ -342,6 +343,25 @@ def gbt_early_stop(spark, d):
         *KEY, "prediction", F.lit(n_trees).alias("n_trees"))
 
 
+@query("gbt_patience")
+def gbt_patience(spark, d):
+    """Boosting cut at the best round of the held-out fold, found with a
+    patience of ten rounds (M12)."""
+    train, test, feats = _split(spark, d)
+    tv = assign_folds(train, FOLD_KEY, 5, 42, FOLD_WEIGHTS).withColumn("is_val", F.col("fold") == 0)
+    model = Trees("gbt", dict(maxIter=40, stepSize=0.3, maxDepth=4, seed=42), early_stop_col="is_val", name="gbt_patience", patience=10)
+    fitted = model.fit(fit_rows(tv.select("y", "is_val", *feats)), feats, "y")
+    return fitted.predict(test.select(*KEY, *feats), "prediction").select(
+        *KEY, "prediction", F.lit(len(fitted.model.trees)).alias("n_trees"))
+
+
+@query("fit_gbt_huber")
+def fit_gbt_huber(spark, d):
+    """Boosting with the Huber loss, δ at the 0.9 quantile of each round, √p
+    features per split, leaf ≥ 15 (M7)."""
+    return _fit_predict(HuberBoost(20, 0.3, 0.9, dict(maxDepth=4, minInstancesPerNode=15, seed=42)), spark, d)
+
+
 # --- stacking -------------------------------------------------------------------
 
 def small_stack(seed: int = 42, keep_features: bool = False, k: int = 5) -> Stacking:

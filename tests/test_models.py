@@ -205,3 +205,84 @@ def test_registered_ensembles_are_whole(monkeypatch):
     for name in ("ensemble_predictions", "ensemble_cv", "ensemble_documented", "ensemble_third_party"):
         entry_point.queries()[name](None, "")
     assert {(o.seeds, o.folds, o.outer_folds, o.cv_folds, o.lasso_folds) for o in seen} == {((42, 123, 456), 5, 5, 5, 10)}
+
+
+@pytest.mark.parametrize("p,corr", [(4, 0.0), (9, 0.6)])
+def test_matrix_free_poly_equals_dense(spark, p, corr):
+    from tessera.operators.moments import Bank
+    from tessera.operators.quadratic import fit_quadratic
+    rng = np.random.default_rng(3)
+    n = 500
+    x = rng.normal(size=(n, p)) * np.linspace(0.5, 4, p) + corr * rng.normal(size=(n, 1)) + np.linspace(-2, 3, p)
+    x[:, 0] = (x[:, 0] > 0).astype(float)
+    y = 10 + x @ rng.normal(size=p) + 0.3 * x[:, 1] * x[:, 2] + rng.normal(size=n) * 0.2
+    names = [f"c{i}" for i in range(p)]
+    df = spark.createDataFrame([(int(i % 3), float(y[i]), *map(float, x[i])) for i in range(n)],
+                               "f int, y double, " + ", ".join(f"{c} double" for c in names)).repartition(3).persist()
+    bank = Bank(df, names, "y", {"f": (F.col("f"), 3)})
+    parts = [{}, {"f": 1}]
+    for part, got in zip(parts, fit_quadratic(bank, names, parts, 0.6, 2.5, None)):
+        want = bank.poly(part, names, 0.6, 2.5, None)
+        a, b = (m.b + x @ m.l + ((x @ (m.q + m.q.T) / 2) * x).sum(axis=1) for m in (got, want))
+        assert np.abs(a - b).max() < 1e-6 * np.abs(b).max()
+    assert PolyRidge().dense(50) and not PolyRidge().dense(200)
+
+
+def _huber_plain(y, leaves, rounds, step, quantile):
+    """Row by row, with the trees' own leaves."""
+    now, out = np.full(len(y), np.median(y)), []
+    for leaf in leaves[:rounds]:
+        r = y - now
+        delta = np.quantile(np.abs(r), quantile)
+        values = {}
+        for k in np.unique(leaf):
+            m = np.median(r[leaf == k])
+            values[k] = m + np.clip(r[leaf == k] - m, -delta, delta).mean()
+        now = now + step * np.array([values[k] for k in leaf])
+        out.append((delta, values))
+    return now, out
+
+
+def test_huber_boosting(spark):
+    """Equal to a plain replay on the same leaves, and better than absolute loss
+    with the same trees on a smooth target with outliers."""
+    from tessera.operators.huber import HuberBoost
+    rng = np.random.default_rng(8)
+    n = 600
+    x = rng.uniform(-2, 2, size=(n, 3))
+    clean = 3 * np.sin(x[:, 0]) + x[:, 1]
+    y = clean + rng.normal(scale=0.2, size=n) + np.where(rng.random(n) < 0.08, rng.choice([-30, 30], n), 0)
+    df = spark.createDataFrame([(i, float(y[i]), *map(float, x[i])) for i in range(n)], "k long, y double, a double, b double, c double")
+    fitted = HuberBoost(12, 0.3, 0.9, dict(maxDepth=3, minInstancesPerNode=5, seed=1)).fit(df, ["a", "b", "c"], "y")
+    got = np.array([r.p for r in fitted.predict(df, "p").orderBy("k").collect()])
+    from tessera.operators.models import with_vector
+    rows = with_vector(df, ["a", "b", "c"])
+    leaves = [np.array([int(r[0]) for r in t.transform(rows).orderBy("k").select(t.getLeafCol()).collect()]) for t in fitted.trees]
+    want, steps = _huber_plain(y, leaves, 12, 0.3, 0.9)
+    assert np.allclose(got, want, atol=1e-9) and np.allclose(fitted.deltas, [d for d, _ in steps])
+    absolute = Trees("gbt", dict(maxIter=12, stepSize=0.3, maxDepth=3, minInstancesPerNode=5, lossType="absolute", seed=1)).fit(df, ["a", "b", "c"], "y")
+    other = np.array([r.p for r in absolute.predict(df, "p").orderBy("k").collect()])
+    assert np.sqrt(((got - clean) ** 2).mean()) < np.sqrt(((other - clean) ** 2).mean())
+
+
+def test_patience_takes_the_best_round(spark):
+    from tessera.operators.models import best_round, with_vector
+    assert best_round([5, 4, 3, 3.5, 3.6, 1], 2) == 3 and best_round([5, 4, 3, 3.5, 3.6, 1], 9) == 6 and best_round([1, 1, 1], 5) == 1
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 3))
+    y = x[:, 0] + rng.normal(scale=1.5, size=300)
+    df = spark.createDataFrame([(i, bool(i % 3 == 0), float(y[i]), *map(float, x[i])) for i in range(300)],
+                               "k long, held boolean, y double, a double, b double, c double").coalesce(1)
+    feats, params = ["a", "b", "c"], dict(maxIter=15, stepSize=0.5, maxDepth=3, seed=2)
+    model = Trees("gbt", params, early_stop_col="held", patience=4)
+    fitted = model.fit(df, feats, "y")
+    whole = Trees("gbt", params).fit(df.filter("not held"), feats, "y")
+    held = with_vector(df.filter("held"), feats)
+    each = np.array([[r[0] for r in t.copy({t.predictionCol: "t"}).transform(held).orderBy("k").select("t").collect()] for t in whole.model.trees])
+    truth = np.array([r.y for r in held.orderBy("k").collect()])
+    series = [float(((np.array(whole.model.treeWeights[:n]) @ each[:n] - truth) ** 2).mean()) for n in range(1, 16)]
+    assert np.allclose(series, model.errors)
+    want = best_round(series, 4)
+    assert want < 15 and len(fitted.model.trees) == want
+    got = np.array([r.p for r in fitted.predict(df.filter("held"), "p").orderBy("k").collect()])
+    assert np.allclose(got, np.array(whole.model.treeWeights[:want]) @ each[:want])
