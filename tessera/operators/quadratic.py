@@ -14,6 +14,7 @@ exact change of coordinates) and is preconditioned by the diagonal.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -60,9 +61,11 @@ def _inner(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def fit_quadratic(bank: Bank, features: Sequence[str], parts: Sequence[Mapping[str, int]], alpha: float, coef0: float,
-                  gamma: float | None, tol: float = 1e-10, most: int = 2000) -> list[FittedPoly]:
+                  gamma: float | None, tol: float = 1e-10, most: int = 500) -> list[FittedPoly]:
     """The fitted form of every part. Stops where the residual of the normal
-    equations, in the preconditioner's norm, has fallen by ``tol``."""
+    equations, in the preconditioner's norm, has fallen by ``tol``; where ``most``
+    steps do not get there (badly scaled features, fewer rows than terms), the
+    form reached is returned and a warning says how far it got."""
     at, p = bank._at(features), len(features)
     gamma = 1.0 / p if gamma is None else gamma
     shift, scale = bank.units()
@@ -131,6 +134,9 @@ def fit_quadratic(bank: Bank, features: Sequence[str], parts: Sequence[Mapping[s
                 z = inverse[k] * rest[k]
                 new = _inner(rest[k], z)
                 way[k], size[k] = z + new / size[k] * way[k], new
+        for k, (s, g) in enumerate(zip(size, goal)):
+            if s > g:
+                warnings.warn(f"part {parts[k]}: residual fell by {np.sqrt(s / g) * tol:.1e} only in {most} steps", RuntimeWarning)
     finally:
         rows.unpersist()
     out = []
