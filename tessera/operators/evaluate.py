@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.operators.models import label_stats
-from tessera.operators.moments import Bank, FittedLinear, ridge_loo
+from tessera.operators.moments import Bank, FittedLinear, linear_path
 from tessera.runtime import bounded_broadcast, side_by_side, stage
 
 
@@ -161,14 +161,13 @@ def bank_grid_scores(bank: Bank, features: list[str], kind: str, alphas: Sequenc
                      spread: np.ndarray | None = None, dim: str = "fold") -> list[tuple[float, int, float]]:
     """``(alpha, fold, rmse)`` from the bank alone: a training part's Gramian is
     the total less its fold, and the held-out error follows from the fold's."""
-    def one(job):
-        f, a = job
-        fit = bank.linear({**part, dim: f}, features, kind, float(a), 1.0, spread)
-        sse, n = heldout_sse(bank.gram(part, features, {dim: f}), fit.coef, fit.intercept)
-        return float(a), f, float(np.sqrt(sse / n)) if n else float("nan")
+    def one(f):
+        fits = linear_path(bank.rows, bank.gram({**part, dim: f}, features), list(features), kind, list(map(float, alphas)), 1.0, spread)
+        scores = [heldout_sse(bank.gram(part, features, {dim: f}), fit.coef, fit.intercept) for fit in fits]
+        return [(float(a), f, float(np.sqrt(sse / n)) if n else float("nan")) for a, (sse, n) in zip(alphas, scores)]
 
     bank.grams()
-    return side_by_side(one, [(f, a) for f in range(k) for a in alphas])
+    return [r for rows in side_by_side(one, range(k)) for r in rows]
 
 
 def best_alpha(rows: list[tuple[float, int, float]]) -> float:
@@ -224,7 +223,7 @@ class LinearCV:
     def fit_bank(self, bank: Bank, features: list[str], part: dict) -> FittedLinear:
         spread = bank.spread(part, features)
         if self.kind == "ridge":
-            errors = ridge_loo(bank.rows, bank, features, self.alphas, [part])[0]
+            errors = bank.loo(tuple(features), tuple(self.alphas), part)
             self.best = float(min(zip(errors, self.alphas))[1])
         else:
             self.best = best_alpha(bank_grid_scores(bank, features, self.kind, self.alphas, self.k, part, spread, f"cv{self.k}"))

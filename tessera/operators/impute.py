@@ -118,10 +118,8 @@ class GroupMeanFeature:
     global_mean: float | None = None
 
     def fit(self, df: DataFrame) -> "GroupMeanFeature":
-        sums = (df.groupBy(self.by)
-                .agg(F.sum(F.col(self.column).cast("double")).alias("__s"),
-                     F.count(self.column).alias("__n"))
-                .persist())
+        sums = stage(df.groupBy(self.by).agg(F.sum(F.col(self.column).cast("double")).alias("__s"),
+                                             F.count(self.column).alias("__n")), "group-sums")
         tot = sums.agg(F.sum("__s").alias("s"), F.sum("__n").alias("n")).first()
         self.global_mean = (tot["s"] / tot["n"]) if tot["n"] else None
         self.table = (sums.filter(F.col(self.by).isNotNull())

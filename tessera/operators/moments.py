@@ -171,6 +171,7 @@ class Bank:
         self.cells = list(itertools.product(*[range(k) for k in self.sizes]))
         self.parts = [dict(p) for p in scaled]
         self._units = self._grams = self._quartiles = self._terms = None
+        self._loo: dict = {}
         self._once = threading.RLock()      # members ask from threads of their own
 
     def cells_of(self, part: Mapping[str, int], held: Mapping[str, int] | None = None) -> list[int]:
@@ -260,6 +261,15 @@ class Bank:
         the features before the penalty."""
         return linear_from_gram(self.rows, self.gram(part, features), list(features), kind, alpha, l1_ratio, spread)
 
+    @_computed_once
+    def loo(self, features: tuple, alphas: tuple, part: Mapping[str, int]) -> np.ndarray:
+        """Leave-one-out errors of a part; those of all scaled parts come from
+        the same pass."""
+        if (features, alphas) not in self._loo:
+            errors = ridge_loo(self.rows, self, features, alphas, self.parts)
+            self._loo[features, alphas] = {tuple(sorted(p.items())): e for p, e in zip(self.parts, errors)}
+        return self._loo[features, alphas][tuple(sorted(part.items()))]
+
     @_computed_once
     def terms(self) -> tuple[np.ndarray, np.ndarray]:
         """(cells, d + 1, d + 1) Gramians of ``[1, x, x_i·x_j (i <= j), y]``, and
@@ -322,26 +332,33 @@ def _moment_rows(df: DataFrame, cov: np.ndarray) -> DataFrame:
 
 def linear_from_gram(df: DataFrame, gram: np.ndarray, features: list[str], kind: str, alpha: float, l1_ratio: float = 1.0,
                      spread: np.ndarray | None = None) -> FittedLinear:
-    """A linear fit from a ``[1, x, y]`` Gramian (``df`` only gives the session)."""
+    return linear_path(df, gram, features, kind, [alpha], l1_ratio, spread)[0]
+
+
+def linear_path(df: DataFrame, gram: np.ndarray, features: list[str], kind: str, alphas: Sequence[float], l1_ratio: float = 1.0,
+                spread: np.ndarray | None = None) -> list[FittedLinear]:
+    """Linear fits for several α from one ``[1, x, y]`` Gramian (``df`` only gives
+    the session)."""
     from tessera.operators.models import linear_params
     p = len(features)
     spread = np.ones(p) if spread is None else spread
     n, mean, s = centred(gram)
     d = np.concatenate([1 / spread, [1.0]])
     s = s * np.outer(d, d)
-    if kind == "ridge":
-        w = np.linalg.solve(s[:p, :p] + alpha * np.eye(p), s[:p, p]) if alpha else np.linalg.lstsq(s[:p, :p], s[:p, p], rcond=None)[0]
-    else:
-        s_y = float(np.sqrt(max(s[p, p] / n, 0.0)))
-        if s_y == 0:
-            w = np.zeros(p)
+    ws = []
+    s_y = float(np.sqrt(max(s[p, p] / n, 0.0)))
+    rows = None if kind == "ridge" or s_y == 0 else _moment_rows(df, s / n)
+    for alpha in alphas:
+        if kind == "ridge":
+            ws.append(np.linalg.solve(s[:p, :p] + alpha * np.eye(p), s[:p, p]) if alpha else np.linalg.lstsq(s[:p, :p], s[:p, p], rcond=None)[0])
+        elif rows is None:
+            ws.append(np.zeros(p))
         else:
             reg, en = linear_params(kind, alpha, int(n), s_y, l1_ratio)
             est = LinearRegression(regParam=reg, elasticNetParam=en, standardization=False, solver="normal", maxIter=500, tol=1e-10)
             with FIT_SLOTS:
-                w = est.fit(_moment_rows(df, s / n)).coefficients.toArray()
-    coef = w / spread
-    return FittedLinear(features, coef, float(mean[p] - mean[:p] @ coef))
+                ws.append(est.fit(rows).coefficients.toArray())
+    return [FittedLinear(features, w / spread, float(mean[p] - mean[:p] @ (w / spread))) for w in ws]
 
 
 # --- leave-one-out ridge (M4) ---------------------------------------------------

@@ -100,7 +100,7 @@ SELECT model, round(avg(rmsle), 6) AS mean_rmsle, round(stddev_pop(rmsle), 6) AS
        count(*) AS folds FROM scores GROUP BY model""")
 def model_compare(spark, d):
     """k-fold score of several models, mean ± population std (V4)."""
-    t = train_rows(spark, d).persist()
+    t = stage(train_rows(spark, d), "compare-rows")
     parts = []
     for name, by in _COMPARE.items():
         o = oof_group_mean(t, "y", by)
@@ -209,22 +209,11 @@ def prediction_summary(spark, d):
 
 # --- models on the full feature chain (rows-only checks) ----------------------------
 
-_LAST_FEATURES: dict[tuple, tuple[DataFrame, SalesFeatures]] = {}   # one entry
-
-
 def feature_chain(spark: SparkSession, d: str) -> tuple[DataFrame, SalesFeatures]:
-    """Prepared sales features, staged to Parquet, with the fitted chain. The
-    last ones built are used again while the tables' files (paths, sizes, times
-    of change) are the same ones; a rewritten folder is built anew."""
-    files = spark.read.format("binaryFile").load(sorted(sales(spark, d).inputFiles()))
-    state = files.select("path", "length", "modificationTime").collect()     # a row per file of the tables
-    key = (spark.sparkContext.applicationId, d, *sorted(tuple(r) for r in state))
-    if key not in _LAST_FEATURES:
-        fe = SalesFeatures(fit_on="all")      # parity: statistics over both halves
-        built = stage(fe.build(spark, d), "sales-features"), fe
-        _LAST_FEATURES.clear()
-        _LAST_FEATURES[key] = built
-    return _LAST_FEATURES[key]
+    """Prepared sales features, staged to Parquet, with the fitted chain; every
+    query builds its own from its tables."""
+    fe = SalesFeatures(fit_on="all")      # parity: statistics over both halves
+    return stage(fe.build(spark, d), "sales-features"), fe
 
 
 def feature_table(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
