@@ -43,7 +43,8 @@ class Settings:
     shortest: int = 3
     longest: int = 4
     rarest: float = 0.01        # share of the training texts a subword must be in
-    commonest: float = 0.2      # and may be in
+    commonest: float = 0.2      # and may be in, unless one class has it
+    telling: float = 2.0        # times as often as the other
     blanks: float = 20.0
     scale: float = 30.0         # of the average, so that rare words can count
     epochs: int = 40
@@ -135,7 +136,11 @@ def train(texts: list[str | None], labels: list[int], settings: Settings = Setti
     shift = np.log([1 - base, base])
     row, column, weight, names = _features(texts, s)
     seen = np.bincount(column, minlength=len(names))
-    use = (seen >= max(2, s.rarest * len(y))) & (seen <= max(2, s.commonest * len(y)))
+    # shares of either class, each with one text more that has the subword and one that has not
+    toxic = np.bincount(column, y[row], minlength=len(names))
+    ratio = (toxic + 1) / (y.sum() + 2) / ((seen - toxic + 1) / (len(y) - y.sum() + 2))
+    telling = np.maximum(ratio, 1 / ratio) >= s.telling
+    use = (seen >= max(2, s.rarest * len(y))) & ((seen <= max(2, s.commonest * len(y))) | telling)
     row, column, weight = (v[use[column]] for v in (row, column, weight))
     if not len(column) or y.min() == y.max():
         return Model({}, shift[1] - shift[0], s)

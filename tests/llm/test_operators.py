@@ -278,6 +278,15 @@ def test_toxicity_misspelt():
     assert model.score(None) == model.score("") == model.score(" .,")
 
 
+def test_toxicity_common_insult():
+    """A word of most toxic texts counts with the shipped settings, however common it is."""
+    for share in (10, 3, 2):  # one in so many is toxic
+        texts = [f"{'you grubnak you' if k % share == 0 else 'the rain came'} {k} w{k}x w{k}y" for k in range(300)]
+        model = toxicity.train(texts, [int(k % share == 0) for k in range(300)])
+        assert model.score("what a grubnak") > model.score("what a grabnuk") > model.score("what a rain")
+        assert np.mean([(model.score(t) >= 0.5) == (k % share == 0) for k, t in enumerate(texts)]) > 0.95, share
+
+
 def test_toxicity_edges(spark, edge):
     labels = spark.createDataFrame([(1, 1), (1, 0), (5, 0), (None, 1), (7, None), (8, 7)], "doc_id long, toxic int")
     for known in (labels, labels.limit(0)):
