@@ -203,3 +203,64 @@ def codes(rows, parts=8, entries=16, rounds=6):
     for (_, _, label), d in zip(kept, done):
         total[label] = total.get(label, 0) + sum(e for _, e in d)
     return [(i, tuple(k for k, _ in d), sum(e for _, e in d), total[label]) for (i, _, label), d in zip(kept, done)], books
+
+
+def toxic_score(text, model, s):
+    """A text's probability from the trained logits of its subwords."""
+    counts = {}
+    for run in re.findall(r"\w+", (text or "").lower()):
+        for at in range(0, len(run), 64):
+            word = run[at:at + 64]
+            counts[word] = counts.get(word, 0) + 1
+    z = model.bias
+    if counts:
+        roots = {w: c ** 0.5 for w, c in counts.items()}
+        total = 0.0
+        for w, r in roots.items():
+            marked = f"<{w}>"
+            grams = [marked]
+            for n in range(s.shortest, min(s.longest, len(marked) - 1) + 1):
+                grams += [marked[i:i + n] for i in range(len(marked) - n + 1)]
+            total += r * sum(model.logit.get(g, 0.0) for g in grams) / len(grams)
+        z += s.scale * total / (sum(roots.values()) + s.blanks)
+    return 1 / (1 + np.exp(-z))
+
+
+def repeats(docs, place, weights=(1, 2, 3), most=3):
+    """[(id, text, source)] and {id: place in the shuffle} -> how often each
+    document's first word is taken: a source is read round and round in shuffled
+    order until its target is used up."""
+    sizes = [len(SPACE_WORD.findall(t or "")) for _, t, _ in docs]
+    total = {}
+    for (_, _, source), n in zip(docs, sizes):
+        total[source] = total.get(source, 0) + n
+    want = targets(total, weights, most)
+    out = [0] * len(docs)
+    for source, size in total.items():
+        if not size:
+            continue
+        words = min(int(want[source] + 0.5), most * size)
+        at = 0
+        for k in sorted((k for k, d in enumerate(docs) if d[2] == source and sizes[k]), key=lambda k: place[docs[k][0]]):
+            out[k] = words // size + (at < words % size)
+            at += sizes[k]
+    return out
+
+
+def shards(docs, limit):
+    """[(id, bytes)] -> prefixes of at most 60 hash bits: a bucket over the limit is cut
+    on its next bit. Only equal ids are left together at 60."""
+    bits = [f"{int(hashlib.md5(('' if i is None else str(i)).encode()).hexdigest()[:15], 16):060b}" for i, _ in docs]
+    out = [""] * len(docs)
+    todo = [("", list(range(len(docs))))]
+    while todo:
+        prefix, rows = todo.pop()
+        if sum(docs[k][1] for k in rows) > limit and len(rows) > 1 and len(prefix) < 60:
+            for bit in "01":
+                half = [k for k in rows if bits[k][len(prefix)] == bit]
+                if half:
+                    todo.append((prefix + bit, half))
+        else:
+            for k in rows:
+                out[k] = prefix
+    return out
