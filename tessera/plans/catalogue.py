@@ -21,6 +21,7 @@ from tessera.operators.impute import (GroupMeanFeature, GroupMedianImputer, Mode
 from tessera.operators.models import GroupMean
 from tessera.operators.select import (CorrelationFilter, VarianceFilter, dominance,
                                       mutual_information, top_k, variance_table)
+from tessera.operators.sparse_hot import SparseOneHot
 from tessera.operators.stats import BoxCoxSkewed, RobustScaler, skewness_report
 from tessera.sources.fixture import KEY, KEY_SQL, SALES_CTE, sales
 from tessera.sources.tables import NA_TOKENS, labelled_unlabelled, normalise_na_tokens, read_table
@@ -385,6 +386,43 @@ def one_hot(spark, d):
     return OneHot(_HOT_COLS).fit(s).transform(s)
 
 
+# l_partkey has a level per part: as many as the table has parts.
+_SPARSE_COLS = ["l_returnflag", "facility", "l_suppkey", "l_partkey"]
+
+
+def _sparse_sql(cut: float | None) -> str:
+    share = "n / (SELECT CAST(count(*) AS DOUBLE) FROM sales)"
+    kept = "" if cut is None else f" WHERE {share} * (1 - {share}) > {cut}"
+    levels = " UNION ALL ".join(f"SELECT {i} AS nr, CAST({c} AS VARCHAR) AS v, count(*) AS n FROM sales WHERE {c} IS NOT NULL GROUP BY ALL"
+                                for i, c in enumerate(_SPARSE_COLS))
+    places = ", ".join(f"lv{i}.place" for i in range(len(_SPARSE_COLS)))
+    joins = " ".join(f"LEFT JOIN placed lv{i} ON lv{i}.nr = {i} AND lv{i}.v = CAST(s.{c} AS VARCHAR)" for i, c in enumerate(_SPARSE_COLS))
+    # qualified, as the levels' columns stand beside them
+    key = ", ".join("s." + k for k in KEY)
+    return SALES_CTE + f""", levels AS ({levels}),
+placed AS (SELECT nr, v, row_number() OVER (ORDER BY nr, v) - 1 AS place FROM levels{kept})
+SELECT {key}, concat_ws(',', {places}) AS places, (SELECT count(*) FROM placed) AS size FROM sales s {joins}"""
+
+
+def _sparse(hot: SparseOneHot, s: DataFrame) -> DataFrame:
+    return hot.positions(s.select(*[F.col(k).alias(f"{k}_") for k in KEY], *_SPARSE_COLS), "at").select(
+        *[F.col(f"{k}_").alias(k) for k in KEY], F.array_join("at", ",").alias("places"), F.lit(hot.size).cast("long").alias("size"))
+
+
+@query("one_hot_sparse", _sparse_sql(None))
+def one_hot_sparse(spark, d):
+    """Places that each row sets in a vector of all levels."""
+    s = sales(spark, d)
+    return _sparse(SparseOneHot(_SPARSE_COLS).fit(s), s)
+
+
+@query("one_hot_sparse_selected", _sparse_sql(X.VARIANCE_CUT))
+def one_hot_sparse_selected(spark, d):
+    """The same of the levels whose indicator varies enough."""
+    s = sales(spark, d)
+    return _sparse(SparseOneHot(_SPARSE_COLS).fit(s).selected(X.VARIANCE_CUT), s)
+
+
 @query("robust_scale", SALES_CTE + f"""
 , q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS a1, median(l_extendedprice) AS m1,
                quantile_cont(l_extendedprice, 0.75) AS b1,
