@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.frequent import proven_modes
 from tessera.operators.stats import group_quantiles
 from tessera.runtime import bounded_broadcast, stage
 
@@ -41,11 +42,13 @@ def fill_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 class ModeImputer:
     """Fill NULLs with the column mode (I4).
 
-    Nulls are not counted; ties go to the smallest value. All columns are
-    fitted together from one grouped count of ``(column, value)`` pairs
-    (map-side combine, so a value holding a third of the rows costs no more
-    than any other) and aggregates over that count table; unlike the
-    ``mode`` aggregate, no single task ever holds every distinct value.
+    Nulls are not counted; ties go to the smallest value. Modes come from
+    bounded summaries and an exact count of the few values that can be most
+    frequent (:func:`frequent.proven_modes`). Columns without a proven one are
+    fitted from one grouped count of ``(column, value)`` pairs (map-side
+    combine, so a value holding a third of the rows costs no more than any
+    other); unlike the ``mode`` aggregate, no single task ever holds every
+    distinct value.
     """
 
     columns: list[str]
@@ -54,7 +57,10 @@ class ModeImputer:
     def fit(self, df: DataFrame) -> "ModeImputer":
         from tessera.operators.select import dominance
         types = {f.name: f.dataType for f in df.schema.fields}
-        top = {r["feature"]: r["top_value"] for r in dominance(df, self.columns).collect()}
+        top = proven_modes(df, self.columns)
+        rest = [c for c in self.columns if c not in top]
+        if rest:
+            top |= {r["feature"]: r["top_value"] for r in dominance(df, rest).collect()}
         # the count table holds text; bring each value back to its column's type
         row = df.sparkSession.range(1).select(*[
             F.lit(top.get(c)).cast(types[c]).alias(c) for c in self.columns]).first()
