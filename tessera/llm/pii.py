@@ -45,6 +45,8 @@ PATTERNS = (
 )
 WORD = r"[\p{L}\p{N}_]+"
 REACH = 120  # characters of context on either side
+SPAN = "struct<start:int,kind:int,end:int>"
+PART, BLOCK = 128, 1024  # elements a part of a fold, characters a block
 CHANCE = 0.05  # of the true share of a rarely seen pair being below its bound
 
 
@@ -73,42 +75,79 @@ def _passes(kind: int, match: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once, though lambdas in it read it often."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _parts(items: Column) -> Column:
+    last = F.floor((F.size(items) - 1) / PART).cast("int")
+    return F.when(F.size(items) > 0, F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(items, k * PART + 1, F.lit(PART)))).otherwise(
+        F.slice(F.array(items), 1, 0))
+
+
+def _fold(items: Column, at, kind: str, step) -> Column:
+    """The values, of type ``kind``, that a fold over ``items`` gives out:
+    ``step(at, item)`` is the next state, the value and whether there is one. Values are
+    gathered by parts, as appending to one array copies all of it each time."""
+    none = F.array().cast(f"array<{kind}>")
+
+    def one(state, x):
+        after, value, there = step(state["at"], x)
+        return F.struct(after.alias("at"), F.when(there, F.array_append(state["out"], value)).otherwise(state["out"]).alias("out"))
+
+    def part(state, xs):
+        within = F.aggregate(xs, F.struct(state["at"].alias("at"), none.alias("out")), one)
+        return _let(within, lambda w: F.struct(w["at"].alias("at"), F.array_append(state["out"], w["out"]).alias("out")))
+
+    begin = F.struct(F.lit(at).alias("at"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+    return _let(items, lambda xs: F.aggregate(_parts(xs), begin, part, lambda s: F.flatten(s["out"])))
+
+
+def _blocks(text: Column) -> Column:
+    """The text in pieces of BLOCK characters, so that a place far in is found at once."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def _cut(blocks: Column, start: Column, end: Column) -> Column:
+    """Characters ``start`` to ``end`` (exclusive) of a text given by its blocks."""
+    first = F.floor(start / BLOCK).cast("int")
+    several = F.floor((end - 1) / BLOCK).cast("int") - first + 1
+    return F.when(end > start, F.substring(F.array_join(F.slice(blocks, first + 1, several), ""), start - first * BLOCK + 1, end - start)).otherwise("")
+
+
 def _spans(text: Column, pattern: str | Column, kind: int, keep) -> Column:
     """Spans ``(start, kind, end)`` of the matches that ``keep`` accepts. A
     match starts after the pieces between matches and the matches before it."""
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
     found = F.arrays_zip(F.split(text, pattern, -1).alias("gap"),
                          F.regexp_extract_all(text, pattern, F.lit(0)).alias("match"))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    begin = F.struct(F.lit(0).alias("at"), none.alias("spans"))
 
-    def step(state, x):
-        start = state["at"] + F.length(x["gap"])
+    def step(at, x):
+        start = at + F.length(x["gap"])
         end = start + F.coalesce(F.length(x["match"]), F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        kept = x["match"].isNotNull() & keep(x["match"])
-        return F.struct(end.alias("at"), F.when(kept, F.array_append(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
+        return end, F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end")), x["match"].isNotNull() & keep(x["match"])
 
-    return F.aggregate(found, begin, step, lambda s: s["spans"])
+    return _fold(found, 0, SPAN, step)
 
 
 def base_spans(text: Column) -> Column:
     """Pattern spans of a text, by start, then kind."""
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    none = F.array().cast(f"array<{SPAN}>")
     needs = ("[@]", "[0-9]", "[0-9]", "[+]")
     parts = [F.when(text.rlike(need), _spans(text, p, k, lambda m, k=k: _passes(k, m))).otherwise(none)
              for k, (p, need) in enumerate(zip(PATTERNS, needs))]
     return F.array_sort(F.concat(*parts))
 
 
-def _near(text: Column, span: Column) -> Column:
+def _near(blocks: Column, span: Column) -> Column:
     """Lower-cased words within reach of a span; words cut by the reach are
     left out."""
     start, end = span["start"], span["end"]
     # one character more than the reach tells whether its edge cuts a word
-    left = F.substring(text, F.greatest(start - REACH - 1, F.lit(0)) + 1, F.least(start, F.lit(REACH + 1)))
+    left = _cut(blocks, F.greatest(start - REACH - 1, F.lit(0)), start)
     left = F.when(start > REACH, F.regexp_replace(left, rf"(?s)^(?:{WORD}|.)", "")).otherwise(left)
-    right = F.substring(text, end + 1, F.lit(REACH + 1))
+    right = _cut(blocks, end, end + REACH + 1)
     right = F.when(F.length(right) > REACH, F.regexp_replace(right, rf"(?s)(?:{WORD}|.)\z", "")).otherwise(right)
     words = F.regexp_extract_all(F.lower(F.concat(left, F.lit(" "), right)), F.lit(WORD), F.lit(0))
     return F.filter(F.array_distinct(words), _a_term)
@@ -123,11 +162,13 @@ def disclosing_terms(texts: DataFrame, support: int = 2, generalise_at: float =
     """``(terms, marks)`` for a table of one column ``text``: ``terms(term,
     disclosure)`` from ``generalise_at`` on (the largest over all entities), and
     ``marks(text_key, terms)`` for the texts that have some."""
-    spotted = texts.filter(F.col("text").rlike("[0-9@]")).select("text", F.explode(base_spans(F.col("text"))).alias("span"))
-    entity = F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), F.col("span.kind") + 1),
-                         F.expr("substring(text, span.start + 1, span.end - span.start)"))
-    spotted = spotted.select(F.xxhash64("text").alias("text_key"), entity.alias("entity"),
-                             F.array_sort(_near(F.col("text"), F.col("span"))).alias("words"))
+    def seen(blocks, span):
+        kind = F.element_at(F.array(*map(F.lit, KINDS)), span["kind"] + 1)
+        entity = F.concat_ws(":", kind, _cut(blocks, span["start"], span["end"]))
+        return F.struct(entity.alias("entity"), F.array_sort(_near(blocks, span)).alias("words"))
+
+    spotted = texts.filter(F.col("text").rlike("[0-9@]")).select(F.explode(_let(_blocks(F.col("text")), lambda blocks: F.transform(
+        base_spans(F.col("text")), lambda span: seen(blocks, span)))).alias("seen")).select("seen.*")
     contexts = spotted.groupBy("entity", "words").agg(F.count("*").alias("docs"))
     contexts = staged(contexts, "contexts")
     entities = contexts.groupBy("entity").agg(F.sum("docs").alias("n_e"))
@@ -173,28 +214,37 @@ def find(df: DataFrame, text_col: str = "text", support: int = 2, generalise_at:
     listed = F.concat(F.lit(rf"(?iu)(?<!{WORD[:-1]})(?:"), F.array_join(F.map_keys(F.col(marks_of)), "|"), F.lit(rf")(?!{WORD[:-1]})"))
     terms = F.when(F.col(marks_of).isNotNull(), _spans(
         F.col(text), listed, 4, lambda w: F.map_contains_key(F.col(marks_of), F.lower(w))))
-    free = F.filter(terms, lambda t: ~F.exists(F.col(base), lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"])))
-    rows = rows.withColumn(spans, F.when(F.col(marks_of).isNull(), F.col(base)).otherwise(F.array_sort(F.concat(F.col(base), free))))
+    rows = rows.withColumn(spans, F.when(F.col(marks_of).isNull(), F.col(base)).otherwise(_apart(F.array_sort(F.concat(F.col(base), terms)))))
     rows = rows.withColumn(out, _rewritten(F.col(text), F.col(spans), F.col(marks_of), remove_at))
     return rows.select(*[col(c) for c in df.columns], base, spans, out)
 
 
+def _apart(spans: Column) -> Column:
+    """Sorted spans without the terms that overlap a pattern span: those that start before
+    the end of a pattern span at or before them, then, from the end, those that end after
+    the start of one behind them."""
+    base = lambda s: s["kind"] < 4
+    ahead = _fold(spans, 0, SPAN, lambda at, s: (
+        F.when(base(s), F.greatest(at, s["end"])).otherwise(at), s, base(s) | (s["start"] >= at)))
+    back = _fold(F.reverse(ahead), 2 ** 31 - 1, SPAN, lambda at, s: (
+        F.when(base(s), F.least(at, s["start"])).otherwise(at), s, base(s) | (s["end"] <= at)))
+    return F.reverse(back)
+
+
 def _rewritten(text: Column, spans: Column, marks: Column, remove_at: float) -> Column:
     """The text with its spans replaced; a span that overlaps an earlier one
-    only takes what is left of it."""
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state, s):
-        word = F.substring(text, s["start"] + 1, s["end"] - s["start"])
+    goes, and the text goes on after the longer of them."""
+    def piece(blocks, at, s):
+        word = _cut(blocks, s["start"], s["end"])
         shape = F.regexp_replace(F.regexp_replace(word, r"\p{L}+", "x"), r"\p{N}+", "0")
         name = F.concat(F.lit("["), F.upper(F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1)), F.lit("]"))
         put = F.when(s["kind"] < 4, name).when(F.element_at(marks, F.lower(word)) >= remove_at, "").otherwise(shape)
-        gap = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        return F.when(s["start"] >= state["at"], F.struct(s["end"].alias("at"), F.concat(state["out"], gap, put).alias("out"))).otherwise(
-            F.struct(F.greatest(state["at"], s["end"]).alias("at"), state["out"].alias("out")))
+        return F.concat(_cut(blocks, at, s["start"]), put)
 
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(
-        spans, begin, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))))
+    pieces = _let(_blocks(text), lambda blocks: _fold(spans, 0, "string", lambda at, s: (
+        F.greatest(at, s["end"]), piece(blocks, at, s), s["start"] >= at)))
+    end = F.array_max(F.transform(spans, lambda s: s["end"]))
+    return F.when(F.size(spans) == 0, text).otherwise(F.concat(F.array_join(pieces, ""), F.substring(text, end + 1, F.length(text))))
 
 
 def spelled(spans: Column) -> Column:

@@ -2,6 +2,7 @@
 nulls in any column, empty and very long texts, ties and repeated rows, empty
 tables, extra columns with clashing names."""
 
+import re
 from collections import Counter
 
 import numpy as np
@@ -163,6 +164,36 @@ def test_pii_terms_numbers_short_words_and_edges(spark):
     assert "4711" not in out[0] and "王伟" not in out[10]
 
 
+def test_pii_folds_in_parts(spark):
+    """Overlapping spans, texts longer than a block and characters outside the basic
+    plane, against plain loops; more spans than a part holds."""
+    rng, rows_ = np.random.default_rng(3), []
+    for n in (0, 1, 7, 127, 128, 129, 700):
+        size = 40 + 9 * n
+        spans = sorted({(int(s), int(rng.integers(0, 5)), int(s + rng.integers(1, 12))) for s in rng.integers(0, size - 12, n)})
+        rows_.append((n, "".join(rng.choice(list("ab 1é\n\U0001F600"), size)), [pii_span(*x) for x in spans]))
+    df = spark.createDataFrame(rows_, f"n int, text string, spans array<{pii.SPAN}>")
+    words = F.create_map(F.lit("never"), F.lit(0.95))
+    out = df.select("n", pii._apart(F.col("spans")).alias("apart"), pii._rewritten(F.col("text"), F.col("spans"), words, 0.9).alias("new"))
+    got = {r["n"]: r for r in out.collect()}
+    for n, text, spans in rows_:
+        base = [s for s in spans if s["kind"] < 4]
+        keep = [s for s in spans if s["kind"] < 4 or not any(s["start"] < b["end"] and b["start"] < s["end"] for b in base)]
+        assert [x.asDict() for x in got[n]["apart"]] == keep
+        at, new = 0, ""
+        for s in spans:
+            if s["start"] >= at:
+                word = re.sub(r"[^\W\d_]+", "x", text[s["start"]:s["end"]])
+                put = f"[{pii.KINDS[s['kind']].upper()}]" if s["kind"] < 4 else re.sub(r"\d+", "0", word)
+                new += text[at:s["start"]] + put
+            at = max(at, s["end"])
+        assert got[n]["new"] == new + text[at:]
+
+
+def pii_span(start, kind, end):
+    return {"start": start, "kind": kind, "end": end}
+
+
 @pytest.mark.parametrize("which", ["docs", "edge"])
 def test_mixing(spark, docs, edge, which):
     df = {"docs": docs, "edge": edge}[which]
