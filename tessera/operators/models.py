@@ -255,10 +255,11 @@ def base_models(profile: str = "small", seed: int = 42, trees: int = SMALL_TREES
     """The six base learners of the best ensemble: three penalised regressions
     and three boosters, the last two of which stop early on the held-out fold.
 
-    ``full`` has the documented tree counts and rates; ``small`` the same
-    members with ``trees`` trees at a higher rate.
+    ``full`` has the documented tree counts, rates and patience; ``small`` the same
+    members with ``trees`` trees at a higher rate, stopped by a tolerance.
     """
     full = profile == "full"
+    patience = 50 if full else None
     # fixed values: the members' documented parameters
     rounds = dict(maxIter=3000) if full else dict(maxIter=trees, stepSize=0.3)
     return [
@@ -268,9 +269,9 @@ def base_models(profile: str = "small", seed: int = 42, trees: int = SMALL_TREES
                           seed=seed) | rounds, name="gbt_robust"),
         Trees("gbt", dict(stepSize=0.01, maxDepth=4, subsamplingRate=0.7,
                           featureSubsetStrategy="0.7", seed=seed) | rounds,
-              name="gbt_xgb", stop_on_held_out=True),
+              name="gbt_xgb", stop_on_held_out=True, patience=patience),
         Trees("gbt", dict(stepSize=0.01, maxDepth=5, seed=seed) | rounds,
-              name="gbt_cat", stop_on_held_out=True),
+              name="gbt_cat", stop_on_held_out=True, patience=patience),
     ]
 
 

@@ -348,7 +348,7 @@ def gbt_patience(spark, d):
 def fit_gbt_huber(spark, d):
     """Boosting with the Huber loss, δ at the 0.9 quantile of each round, √p
     features per split, leaf ≥ 15 (M7)."""
-    return _fit_predict(HuberBoost(20, 0.3, 0.9, dict(maxDepth=4, minInstancesPerNode=15, seed=42)), spark, d)
+    return _fit_predict(HuberBoost(20, 0.3, 0.9, dict(maxDepth=4, featureSubsetStrategy="sqrt", minInstancesPerNode=15, seed=42)), spark, d)
 
 
 # --- stacking -------------------------------------------------------------------

@@ -68,6 +68,14 @@ LABEL_CODED = ["FireplaceQu", "BsmtQual", "BsmtCond", "GarageQual", "GarageCond"
                "LandSlope", "LotShape", "PavedDrive", "Street", "Alley", "CentralAir",
                "MSSubClass", "OverallCond", "YrSold", "MoSold"]
 OUTLIER_AREA, OUTLIER_PRICE = 4000, 300000
+# What the label-coded pipelines differ in. ``means``: columns averaged by
+# neighbourhood; ``hand``: constructed features; ``variance``: the cut of the last filter.
+CODED_VARIANTS = {
+    "best": dict(means=["OverallQual"], hand=["TotalSF", "TotalBath", "OverallQual_TotalSF"], variance=X.VARIANCE_CUT),
+    "two_means": dict(means=["OverallQual", "YearBuilt"], hand=["TotalSF"], variance=X.VARIANCE_CUT),
+    "unfiltered": dict(means=[], hand=["TotalSF", "TotalBath", "HasBsmt", "Has2ndFloor", "HasFireplace"], variance=None,
+                       modes=["Functional"]),
+}
 
 
 def house_schema(labelled: bool) -> StructType:
@@ -106,13 +114,30 @@ def documented_hand_features() -> list:
     ]
 
 
+def coded_hand_features() -> dict:
+    """The constructed features of the label-coded pipelines by name."""
+    total_sf = X.total("TotalBsmtSF", "1stFlrSF", "2ndFlrSF")
+    return {
+        "TotalSF": total_sf,
+        "TotalBath": X.weighted_total({"FullBath": 1.0, "HalfBath": 0.5, "BsmtFullBath": 1.0, "BsmtHalfBath": 0.5}),
+        "OverallQual_TotalSF": F.col("OverallQual") * total_sf,
+        "HasBsmt": X.presence_flag("TotalBsmtSF"),
+        "Has2ndFloor": X.presence_flag("2ndFlrSF"),
+        "HasFireplace": X.presence_flag("Fireplaces"),
+    }
+
+
 @dataclass
 class HouseFeatures:
     """Cleaning + encoding of the house-sale files.
 
     ``variant="best"``: the best-scoring pipeline (label codes, neighbourhood
     mean of quality, three hand features, population variance > 0.01, all
-    statistics over both halves). ``variant="documented"``: graded maps for
+    statistics over both halves). ``"two_means"``: the same with the neighbourhood
+    mean of the building year too, and the total area as the only hand feature.
+    ``"unfiltered"``: label codes, five hand features (total area, baths, three
+    flags), the mode also for ``Functional``, no neighbourhood mean and no filter:
+    every encoded column is a feature. ``"documented"``: graded maps for
     17 columns, the 13 hand features, modes also for ``Functional``, then
     sample variance > 0 and the 0.98 correlation filter fitted on the
     labelled half.
@@ -128,21 +153,21 @@ class HouseFeatures:
         s = labelled_unlabelled(train, test)
         if self.variant == "documented":
             return self._documented(s)
-        s = fill_constant(s, {**{c: "None" for c in FILL_NONE},
-                              **{c: 0.0 for c in FILL_ZERO}, **FILL_DEFAULT})
-        s = ModeImputer(FILL_MODE).fit(s).transform(s)
+        return self._coded(s, **CODED_VARIANTS[self.variant])
+
+    def _coded(self, s: DataFrame, means: list[str], hand: list[str], variance: float | None, modes: list[str] = ()) -> DataFrame:
+        s = fill_constant(s, {**{c: "None" for c in FILL_NONE}, **{c: 0.0 for c in FILL_ZERO},
+                              **{c: v for c, v in FILL_DEFAULT.items() if c not in modes}})
+        s = ModeImputer([*FILL_MODE, *modes]).fit(s).transform(s)
         s = GroupMedianImputer(["LotFrontage"], "Neighborhood").fit(s).transform(s)
         # the fits below read the cleaned rows, not the files and the fits above
         s = stage(s.drop(*DROPPED), "house-clean")
-        s = GroupMeanFeature("OverallQual", "Neighborhood",
-                             "Neighborhood_OverallQual").fit(s).transform(s)
-        total_sf = X.total("TotalBsmtSF", "1stFlrSF", "2ndFlrSF")
+        for c in means:
+            s = GroupMeanFeature(c, "Neighborhood", f"Neighborhood_{c}").fit(s).transform(s)
+        made = coded_hand_features()
         s = s.select(*[c for c in s.columns if c not in AS_TEXT],
                      *[F.coalesce(X.code_as_text(c), F.lit("None")).alias(c) for c in AS_TEXT],
-                     total_sf.alias("TotalSF"),
-                     X.weighted_total({"FullBath": 1.0, "HalfBath": 0.5, "BsmtFullBath": 1.0,
-                                       "BsmtHalfBath": 0.5}).alias("TotalBath"),
-                     (F.col("OverallQual") * total_sf).alias("OverallQual_TotalSF"))
+                     *[made[c].alias(c) for c in hand])
         s = stage(LabelEncoder(LABEL_CODED).fit(s).transform(s), "house-coded")
         numeric = [f.name for f in s.schema.fields
                    if isinstance(f.dataType, NumericType) and f.name not in ("Id", "y")]
@@ -151,12 +176,12 @@ class HouseFeatures:
         s = stage(BoxCoxSkewed(numeric).fit(s).transform(s), "house-scaled")
         hot = OneHot(nominal).fit(s)
         s = stage(hot.transform(s), "house-dummies")
-        var = VarianceFilter(numeric + hot.dummy_names(), X.VARIANCE_CUT, True).fit(s)
-        self.features = var.kept
+        self.features = numeric + hot.dummy_names()
+        if variance is not None:
+            self.features = VarianceFilter(self.features, variance, True).fit(s).kept
         return s.select("Id", "split", "y",
                         *[X.nan_to_zero(F.col(f"`{c}`")).alias(c) for c in self.features])
 
-
     def _documented(self, s: DataFrame) -> DataFrame:
         s = fill_constant(s, {**{c: "None" for c in FILL_NONE}, **{c: 0.0 for c in FILL_ZERO}})
         s = ModeImputer(FILL_MODE + ["Functional"]).fit(s).transform(s)

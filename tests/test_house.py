@@ -104,3 +104,41 @@ def test_house_documented_variant_filters(spark):
     c = np.abs(np.corrcoef(lab, rowvar=False))
     assert np.nanmax(np.triu(c, k=1)) <= 0.98 + 1e-9
     assert out.filter(F.col("split") == "test").count() == 80
+
+
+def test_house_coded_variants(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from tessera.operators.stats import skewness_report
+    from tessera.plans.house import HouseFeatures, read_house
+    d = tempfile.mkdtemp(prefix="tessera-house-")
+    _write(f"{d}/train.csv", range(0, 120), True)
+    _write(f"{d}/test.csv", range(120, 160), False)
+    tr, te = read_house(spark, f"{d}/train.csv", f"{d}/test.csv")
+    got = {}
+    for v in ("best", "two_means", "unfiltered"):
+        fe = HouseFeatures(v)
+        rows_ = fe.build(tr, te).collect()
+        got[v] = set(fe.features), rows_
+        assert len(got[v][1]) == 160 and len(set(fe.features)) == len(fe.features)
+    best, two, every = (got[v][0] for v in ("best", "two_means", "unfiltered"))
+    assert "Neighborhood_YearBuilt" in two and "Neighborhood_YearBuilt" not in best | every
+    assert {"TotalSF", "TotalBath", "OverallQual_TotalSF"} <= best and not {"TotalBath", "OverallQual_TotalSF"} & two
+    assert {"TotalSF", "TotalBath", "HasBsmt", "Has2ndFloor", "HasFireplace"} <= every
+    assert not any(c == "Neighborhood_OverallQual" for c in every)
+    # nothing is filtered: a column that is the same in all rows stays
+    assert any(len({r[c] for r in got["unfiltered"][1]}) == 1 for c in every)
+    assert not any(len({r[c] for r in got["best"][1]}) == 1 for c in best)
+    # the mean of the building year is that of the rows of both halves
+    year, rows_ = {}, tr.drop("SalePrice").unionByName(te).collect()
+    for r in rows_:
+        year.setdefault(r["Neighborhood"], []).append(r["YearBuilt"])
+    place = {r["Id"]: r["Neighborhood"] for r in rows_}
+    out = {r["Id"]: r["Neighborhood_YearBuilt"] for r in got["two_means"][1]}
+    want = {i: sum(year[n]) / len(year[n]) for i, n in place.items()}
+    raw = spark.createDataFrame([(v, ) for v in want.values()], "m double")
+    skew = skewness_report(raw, ["m"]).first()["skew"]
+    lam = 0.15
+    scaled = {i: ((1 + m) ** lam - 1) / lam if abs(skew) > 0.75 else m for i, m in want.items()}
+    assert out == pytest.approx(scaled)

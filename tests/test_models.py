@@ -260,6 +260,12 @@ def test_huber_boosting(spark):
     leaves = [np.array([int(r[0]) for r in t.transform(rows).orderBy("k").select(t.getLeafCol()).collect()]) for t in fitted.trees]
     want, steps = _huber_plain(y, leaves, 12, 0.3, 0.9)
     assert np.allclose(got, want, atol=1e-9) and np.allclose(fitted.deltas, [d for d, _ in steps])
+    # a feature drawn per split: roots differ, the replay holds
+    drawn = HuberBoost(6, 0.3, 0.9, dict(maxDepth=2, featureSubsetStrategy="1", seed=1)).fit(df, ["a", "b", "c"], "y")
+    assert len({t.toDebugString.split("feature ")[1][0] for t in drawn.trees}) > 1
+    leaves = [np.array([int(r[0]) for r in t.transform(rows).orderBy("k").select(t.getLeafCol()).collect()]) for t in drawn.trees]
+    drawn = np.array([r.p for r in drawn.predict(df, "p").orderBy("k").collect()])
+    assert np.allclose(drawn, _huber_plain(y, leaves, 6, 0.3, 0.9)[0], atol=1e-9)
     absolute = Trees("gbt", dict(maxIter=12, stepSize=0.3, maxDepth=3, minInstancesPerNode=5, lossType="absolute", seed=1)).fit(df, ["a", "b", "c"], "y")
     other = np.array([r.p for r in absolute.predict(df, "p").orderBy("k").collect()])
     assert np.sqrt(((got - clean) ** 2).mean()) < np.sqrt(((other - clean) ** 2).mean())
