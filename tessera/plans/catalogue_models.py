@@ -318,6 +318,14 @@ def fit_forest(spark, d):
                               name="forest"), spark, d)
 
 
+@query("fit_forest_documented")
+def fit_forest_documented(spark, d):
+    """The forest with its documented 500 trees of depth 15 (M11). Rows keep the
+    number of their node between levels, checkpointed, instead of walking all trees."""
+    return _fit_predict(Trees("forest", dict(numTrees=500, maxDepth=15, minInstancesPerNode=5, featureSubsetStrategy="sqrt", seed=42,
+                                             cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024), name="forest"), spark, d)
+
+
 @query("gbt_early_stop")
 def gbt_early_stop(spark, d):
     """Boosting that stops when the held-out fold stops improving."""
