@@ -121,6 +121,16 @@ def test_pii_base(spark, docs, edge, which):
     assert sum(map(len, (k[1] for k in want))) > (50 if which == "docs" else 5)
 
 
+def test_pii_counts_by_kind(spark, tmp_path):
+    """Spans of one kind only, or of several out of the order of kinds."""
+    texts = ["a@b.co and c@d.org", "at 1.2.3.4, 5.6.7.8", "4111 1111 1111 1111", "call +49 30 1234567", "+49 30 1234567 or 1.2.3.4 or a@b.co", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: tuple(r)[1:] for r in queries.op5_pii(spark, str(tmp_path)).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone").collect()}
+    assert got == {i: tuple(sum(s[1] == k for s in brute.pii_spans(t)) for k in range(4)) for i, t in enumerate(texts)}
+    assert got[0] == (2, 0, 0, 0) and got[3] == (0, 0, 0, 1) and got[4][:2] == (1, 1)
+
+
 def test_pii_terms(spark):
     """A word that only stands beside one address gives it away; words that
     stand everywhere, or in one passage only, do not."""
