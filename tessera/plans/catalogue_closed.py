@@ -14,6 +14,7 @@ from tessera.operators.stats import pca_keep_share
 from tessera.plans.catalogue import FOLD_KEY, FOLD_WEIGHTS, KEY, fold_sql, query, r6
 from tessera.plans.catalogue_models import _SEEDS, _oof_sql
 from tessera.plans.pipeline import RIDGE_GRID
+from tessera.runtime import stage
 from tessera.sources.fixture import KEY_SQL, SALES_CTE, sales
 
 _IQR = "quantile_cont({0}, 0.75) - quantile_cont({0}, 0.25)"
@@ -110,7 +111,8 @@ FROM e, (SELECT unnest([0.5::DOUBLE, 0.99::DOUBLE]) AS share)""")
 def pca_closed_form(spark, d):
     """Robust scaling and PCA of two columns: components kept for two shares,
     variance of the first (T4)."""
-    rows = labelled(spark, d).select(F.array("l_quantity", "l_extendedprice").alias("x"))
+    # the fits read the rows some sixteen times, the tables once
+    rows = stage(labelled(spark, d).select(F.array("l_quantity", "l_extendedprice").alias("x")), "pca-rows")
     out = None
     for share in (0.5, 0.99):
         pcs, k = pca_keep_share(rows, "x", [], share)
@@ -162,7 +164,9 @@ p_{tag} AS (SELECT {', '.join(f'r.{k}' for k in KEY)}, r.y, my + wb * ({means[0]
 
 
 def _closed_rows(spark, d, split: str):
-    return sales(spark, d).filter(F.col("split") == split).select(*KEY, "p_brand", "p_type", "y")
+    """Staged, as stacks read them for every member, fold and seed."""
+    rows = sales(spark, d).filter(F.col("split") == split).select(*KEY, "p_brand", "p_type", "y")
+    return stage(rows, "closed-rows")
 
 
 @query("stack_closed_oof", SALES_CTE + _stack_sql("s", f"{_ROWS} WHERE split = 'train'", f"{_ROWS} WHERE split = 'test'") + """
