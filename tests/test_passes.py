@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera import runtime
 from tessera.operators import evaluate
+from tessera.operators.models import GroupMean
 from tessera.operators.quantiles import _pivots, cell_quantiles
 from tessera.plans import catalogue, catalogue_closed, catalogue_models
 from tessera.sources import fixture
@@ -72,6 +73,21 @@ def test_queries_join_their_tables_once(spark, monkeypatch, name, module, query,
     assert read_of_sales(spark, monkeypatch, module, query, view) <= most
 
 
+def test_mean_of_group_means_joins_once(spark):
+    rows = [(i, f"g{i % 4}" if i % 9 else None, float(i % 13)) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, g string, y double")
+    score = spark.createDataFrame([(i, g) for i, g in enumerate(["g0", "g1", "g3", "other", None, "g0"])], "k long, g string")
+    for by in ("g", None):
+        fits = [GroupMean(by).fit(df.filter(where), [], "y") for where in ("k % 3 <> 0", "g <> 'g1'", "k < 20")]
+        cur = score
+        for i, f in enumerate(fits):
+            cur = f.predict(cur, f"p{i}")
+        want = {r["k"]: np.mean([r["p0"], r["p1"], r["p2"]]) for r in cur.collect()}
+        one = type(fits[0]).mean(fits).predict(score, "p")
+        assert {r["k"]: r["p"] for r in one.collect()} == pytest.approx(want)
+        assert one._jdf.queryExecution().optimizedPlan().toString().count("Join") == (by is not None)
+
+
 def test_pivots_of_sorted_and_uneven_values(spark):
     x = np.sort(np.random.default_rng(0).exponential(size=40_000))
     df = spark.createDataFrame([(int(i % 3) if i % 10 else None, float(v)) for i, v in enumerate(x)], "cell int, c0 double").coalesce(2)
