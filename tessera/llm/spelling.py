@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 from itertools import combinations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,7 @@ from tessera.llm.common import col, small, staged
 PARTS = 8
 PAIRS = list(combinations(range(PARTS), 2))
 CROWD = 64      # vectors that share a signature before it is split
+PIECE = 1000    # vectors enumerated at once in a task
 LETTERS = "[A-Za-zÀ-ÿ]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -81,34 +83,44 @@ def _vector(letters: str, places: _Places) -> tuple[list[int], dict[str, int]]:
     return parts, count
 
 
+def _vectors(letters: list[str], places: _Places) -> tuple[np.ndarray, list[dict[str, int]]]:
+    """(the words' XORs by part, one row a word; their letters with counts)."""
+    found = [_vector(x, places) for x in letters]
+    return np.array([parts for parts, _ in found], dtype=np.int64).reshape(-1, PARTS), [count for _, count in found]
+
+
 def _enumerate(batches):
     """Every vector's signatures, with the hashes of the two parts left out."""
     places = _Places()
-    for pdf in batches:
-        out = []
-        for letters in pdf["letters"]:
-            parts, _ = _vector(letters, places)
-            whole = 0
-            for p in parts:
-                whole ^= p
-            out += [(k, whole ^ parts[i] ^ parts[j], parts[i], parts[j], letters) for k, (i, j) in enumerate(PAIRS)]
-        yield pd.DataFrame(out, columns=["pair", "signature", "first", "second", "letters"])
+    first, second = np.array(PAIRS).T
+    for some in _pieces(batches):
+        parts, _ = _vectors(some["letters"].tolist(), places)
+        one, two = parts[:, first], parts[:, second]
+        whole = np.bitwise_xor.reduce(parts, axis=1)[:, None]
+        yield pd.DataFrame({"pair": np.tile(np.arange(len(PAIRS), dtype=np.int32), len(parts)), "signature": (whole ^ one ^ two).ravel(),
+                            "first": one.ravel(), "second": two.ravel(), "letters": np.repeat(some["letters"].to_numpy(), len(PAIRS))})
 
 
 def _split(batches):
     """A crowded signature's vectors by the signature itself and by every
     signature that leaves out one more place of the two parts."""
     places = _Places()
+    for some in _pieces(batches):
+        parts, counts = _vectors(some["letters"].tolist(), places)
+        whole = np.bitwise_xor.reduce(parts, axis=1).tolist()
+        signatures = []
+        for pair, w, count in zip(some["pair"].tolist(), whole, counts):
+            inside = [h for part, h in (places[c, n] for c, n in count.items()) if part in PAIRS[pair]]
+            signatures.append([w, *[w ^ h for h in inside]])
+        rows = some.loc[np.repeat(some.index.to_numpy(), [len(s) for s in signatures])]
+        yield rows.assign(signature=np.array([s for own in signatures for s in own], dtype=np.int64))
+
+
+def _pieces(batches):
+    """Batches in pieces of ``PIECE`` rows, each of which becomes some 28."""
     for pdf in batches:
-        out = []
-        for r in pdf.itertuples(index=False):
-            parts, count = _vector(r.letters, places)
-            whole = 0
-            for p in parts:
-                whole ^= p
-            inside = [h for part, h in (places[c, n] for c, n in count.items()) if part in PAIRS[r.pair]]
-            out += [(r.pair, s, r.first, r.second, r.letters) for s in (whole, *[whole ^ h for h in inside])]
-        yield pd.DataFrame(out, columns=["pair", "signature", "first", "second", "letters"])
+        for start in range(0, len(pdf), PIECE):
+            yield pdf.iloc[start:start + PIECE].reset_index(drop=True)
 
 
 _ROW = "pair int, signature long, first long, second long, letters string"

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -34,6 +35,16 @@ def spelled(df):
     return Counter(tuple(r) for r in df.select("word", "form", "root", "n", "n_near", "form_n").collect())
 
 
+def test_spelling_enumerates_in_pieces():
+    """A batch of many words never stands in memory as all its signatures at once."""
+    batch = pd.DataFrame({"letters": [f"{i:05d}" for i in range(3 * spelling.PIECE + 1)]})
+    parts = list(spelling._enumerate([batch]))
+    assert max(map(len, parts)) <= spelling.PIECE * len(spelling.PAIRS)
+    whole = pd.concat(parts)
+    assert sorted(whole["letters"].unique()) == batch["letters"].tolist() and len(whole) == len(batch) * len(spelling.PAIRS)
+    assert max(map(len, spelling._split([whole]))) <= spelling.PIECE * 6
+
+
 @pytest.mark.parametrize("which", ["docs", "edge"])
 @pytest.mark.parametrize("crowd", [spelling.CROWD, 2])
 def test_spelling(spark, which, crowd):
