@@ -52,7 +52,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> tuple[np.nd
     if not len(y) or y.min() == y.max():
         return np.zeros(x.shape[1]), bias
     mean, spread = x.mean(0), x.std(0)
-    spread[spread == 0] = 1
+    spread[spread <= 1e-9 * np.abs(x).max(0)] = 1  # equal values: their mean may be off by a rounding
     z = np.column_stack([(x - mean) / spread, ((x - mean) / spread) ** 2, np.ones(len(x))])
     w = np.zeros(z.shape[1])
     w[-1] = bias

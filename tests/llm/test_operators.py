@@ -364,6 +364,15 @@ def test_quality_shrinks(spark):
     assert abs(lone["path_share"] - lone["host_share"]) < 0.1
 
 
+def test_quality_equal_features():
+    """Features that are equal in all rows tell nothing, also where their mean is off by a rounding."""
+    for n in (240, 303, 481, 700):
+        for v in (0.1, 1 / 3, np.log(3)):
+            y = np.arange(n) % 4 == 0
+            weights, bias = quality._logistic(np.full((n, 3), v), y.astype(float))
+            assert np.abs(weights).max() < 1e-6 and bias == pytest.approx(np.log(y.mean() / (1 - y.mean())), abs=1e-5)
+
+
 def test_quality_places_change_whole_tables(spark):
     """On the given table with two hosts more, one that is good whatever its
     texts look like and one that is bad, the place decides for unlabelled
