@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera import runtime
 from tessera.operators import evaluate
 from tessera.operators.models import GroupMean
+from tessera.operators.moments import Bank
 from tessera.operators.quantiles import _pivots, cell_quantiles
 from tessera.plans import catalogue, catalogue_closed, catalogue_models
 from tessera.sources import fixture
@@ -101,3 +102,45 @@ def test_pivots_of_sorted_and_uneven_values(spark):
     i = np.arange(len(x))
     assert got["all"]["c0"] == pytest.approx(np.quantile(x[i % 10 != 0], [.25, .5, .75]).tolist())
     assert got["some"]["c0"] == pytest.approx(np.quantile(x[(i % 10 != 0) & (i % 3 != 1)], [.25, .5, .75]).tolist())
+
+
+def test_moments_read_few_times(spark):
+    """Means and deviations of 30 columns take one pass; the others are for those without digits left."""
+    rng = np.random.default_rng(3)
+    data = {f"a{i}": rng.normal(size=200) * 10.0 ** i + 5 for i in range(-2, 8)} | {
+        "flat": np.full(200, 0.1), "far": 1e9 + rng.normal(size=200)}
+    df = spark.createDataFrame([tuple(map(float, r)) for r in np.column_stack(list(data.values()))], list(data)).withColumn("y", F.col("a1") * 2)
+    df, seen = counted(df)
+    shift, scale = Bank(df, [c for c in data if c[0] == "a"], "y", {}).units()
+    assert seen.value == 200
+    shift, scale = Bank(df, list(data), "y", {}).units()
+    assert seen.value == 600
+    x = np.column_stack([*data.values(), data["a1"] * 2])
+    assert shift == pytest.approx(x.mean(axis=0), rel=1e-9)
+    flat = list(data).index("flat")
+    assert np.delete(scale, flat) == pytest.approx(np.delete(x.std(axis=0), flat), rel=1e-5)
+
+
+def test_joined_rows_are_staged_once(spark, monkeypatch):
+    """A join that leaves pieces enough is written as it is; one of few pieces is dealt out."""
+    want = spark.sparkContext.defaultParallelism
+    asked = []
+    monkeypatch.setattr(runtime, "spread_pieces", lambda df: asked.append(1) or want)
+    written = []
+    monkeypatch.setattr(runtime, "_written", lambda df, name, old=runtime._written: written.append(name) or old(df, name))
+    many = runtime.stage_joined(spark.range(1000).repartition(want + 1), "many")
+    assert written == ["many"] and many.count() == 1000
+    few = runtime.stage_joined(spark.range(1000).withColumn("a`b", F.lit(None).cast("string")).coalesce(1).withColumnRenamed("a`b", "a.b"), "few")
+    assert written == ["many", "few", "few"] and len(few.inputFiles()) == want
+    assert sorted(r["id"] for r in few.collect()) == list(range(1000)) and len(asked) == 2
+
+
+def test_staged_features_hold_what_is_read(spark, monkeypatch):
+    """The staged tables of the feature chain hold no column that nothing reads later."""
+    from tessera.plans import features
+    staged = {}
+    for of in ("stage", "stage_joined"):
+        monkeypatch.setattr(features, of, lambda df, name, old=getattr(features, of): staged.setdefault(name, df.columns) and old(df, name))
+    features.SalesFeatures(fit_on="all").build(spark, SF_SMALL)
+    assert not {"p_type", "o_totalprice", "price_copy"} & set(staged["sales-clean"])
+    assert set(staged["sales-encoded"]) == {*features.KEY, "split", "y", *features.NUMERIC, *features.NOMINAL}
