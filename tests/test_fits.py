@@ -71,3 +71,20 @@ def test_patience_fits_once(rows, monkeypatch):
     assert len(fitted) == 1 and 0 < len(out.model.trees) == models.best_round(model.errors, 3) < 15
     assert [t.toDebugString for t in out.model.trees] == [t.toDebugString for t in fitted[0].trees[:len(out.model.trees)]]
     assert list(out.model.treeWeights) == list(fitted[0].treeWeights[:len(out.model.trees)])
+
+
+def test_no_more_threads_than_slots():
+    now, most, lock = 0, 0, threading.Lock()
+
+    def job(n):
+        nonlocal now, most
+        with lock:
+            now += 1
+            most = max(most, now)
+        time.sleep(0.02)
+        with lock:
+            now -= 1
+        return n
+
+    assert runtime.side_by_side(job, range(50)) == list(range(50))
+    assert most <= runtime.FIT_SLOTS.most
