@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.evaluate import LinearCV, balanced_folds, bank_grid_scores, linear_grid_cv
 from tessera.operators.models import PolyRidge, elastic_net, lasso, linear_params, ridge
+from tessera.operators import moments
 from tessera.operators.moments import Bank, ridge_loo, summed
 from tessera.operators.select import pairwise_correlation
 
@@ -76,6 +77,32 @@ def test_moment_rows_stand_for_the_table(spark, table, kind, alpha, rho):
     assert few.intercept == pytest.approx(whole.intercept, abs=1e-5)
 
 
+def test_search_over_alpha_runs_no_fit_job(spark, table, monkeypatch):
+    """Lasso fits that are only scored equal Spark's and are not fitted by it."""
+    df, x, y, _, _ = table
+    bank = Bank(df, FEATS, "y", dims())
+    alphas, spread = [0.0005, 0.02, 0.3], scaled(x)
+    want = moments.linear_path(df, bank.gram({}, FEATS), FEATS, "lasso", alphas, 1.0, spread)
+    monkeypatch.setattr(moments.LinearRegression, "fit", lambda *a: pytest.fail("a Spark fit"))
+    got = moments.scored_path(df, bank.gram({}, FEATS), FEATS, "lasso", alphas, spread)
+    for g, w in zip(got, want):
+        assert np.allclose(g.coef * spread, w.coef * spread, atol=1e-7) and g.intercept == pytest.approx(w.intercept, abs=1e-5)
+    assert len(bank_grid_scores(bank, FEATS, "lasso", alphas, 4, {}, spread)) == 12
+
+
+@pytest.mark.parametrize("l1", [0.0, 0.001, 0.05, 0.4, 3.0])
+def test_penalised_reaches_the_optimum(l1):
+    """Of features that add up to others, equal ones and one without variance, too."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(200, 5))
+    x = np.column_stack([x, x[:, 0] + x[:, 1], x[:, 2], np.zeros(200), x @ np.ones(5)])
+    y = x[:, :5] @ [1.0, -2.0, 0.3, 0.0, 0.01] + rng.normal(size=200)
+    a, b = x.T @ x / 200, x.T @ y / 200
+    w = moments.penalised(a, b, l1, 0.0)
+    rest = b - a @ w
+    assert w[7] == 0 and (np.abs(rest) <= l1 + 1e-6).all() and np.allclose(rest[w != 0], l1 * np.sign(w[w != 0]), atol=1e-6)
+
+
 def test_features_of_a_part(table):
     """A bank over all features serves fits on some of them."""
     df, *_ = table
