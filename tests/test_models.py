@@ -292,3 +292,23 @@ def test_patience_takes_the_best_round(spark):
     assert want < 15 and len(fitted.model.trees) == want
     got = np.array([r.p for r in fitted.predict(df.filter("held"), "p").orderBy("k").collect()])
     assert np.allclose(got, np.array(whole.model.treeWeights[:want]) @ each[:want])
+
+
+def test_robust_boosting_has_its_documented_rounds(spark, monkeypatch):
+    """``fit_gbt_robust`` fits 3000 trees at a rate of 0.05 on every training row."""
+    from tessera.plans import catalogue_models as cm
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(120, 2))
+    rows = spark.createDataFrame([(*[i] * len(cm.KEY), float(a * b), float(a), float(b)) for i, (a, b) in enumerate(x)],
+                                 ", ".join(f"{k} long" for k in cm.KEY) + ", y double, a double, b double")
+    seen, plain = [], Trees.fit
+
+    def fit(self, df, features, label):
+        seen.append((self.params["maxIter"], self.params["stepSize"], self.params["lossType"], df.count()))
+        self.params = self.params | {"maxIter": 2}
+        return plain(self, df, features, label)
+
+    monkeypatch.setattr(cm, "_split", lambda spark, d: (rows, rows.drop("y"), ["a", "b"]))
+    monkeypatch.setattr(Trees, "fit", fit)
+    assert cm.fit_gbt_robust(spark, "unused").count() == 120
+    assert seen == [(3000, 0.05, "absolute", 120)]
